@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from ..functions.fill import fill_missing_typed, fill_missing_zero
 from ..functions.time import (clean_time_text, hour_bucket, parse_time_coerce, parse_time_strict,
                               time_parts, weekend_flag)
-from ..operators.encode import label_encode
+from ..operators.encode import apply_dictionary, label_encode
 from ..operators.stats import attach_base_stats, attach_rich_stats, ratio_features
 from ..operators.windows import DEFAULT_ORDER, sequence_features
 from ..schema import CATEGORICALS, FEATURES, RICH_EXCLUDED
@@ -44,11 +44,20 @@ def select_features(df: DataFrame, features=FEATURES) -> DataFrame:
     return df.select(*[c for c in features if c in df.columns])
 
 
-def base_features(df: DataFrame, mode: str = "coerce", keep: tuple[str, ...] = ()) -> DataFrame:
-    """22-feature matrix (plus ``keep`` columns, e.g. ids and target)."""
+def base_features(df: DataFrame, mode: str = "coerce", keep: tuple[str, ...] = (),
+                  dictionary: DataFrame | None = None) -> DataFrame:
+    """22-feature matrix (plus ``keep`` columns, e.g. ids and target).
+
+    Without ``dictionary`` the categories are encoded by a dictionary fitted on ``df``
+    itself (the reference's per-file behaviour); with one (e.g. fitted on the training
+    split) every split shares its codes and unseen values get -1.
+    """
     out = prepare_time(df, mode)
     out = fill_missing_typed(out)
-    out = label_encode(out, CATEGORICALS)
+    if dictionary is None:
+        out = label_encode(out, CATEGORICALS)
+    else:
+        out = apply_dictionary(out, dictionary, CATEGORICALS)
     out = attach_base_stats(out)
     return out.select(*keep, *[c for c in FEATURES if c in out.columns])
 
