@@ -59,39 +59,42 @@ def metrics_long(metrics: DataFrame, id_cols: Sequence[str] = ()) -> DataFrame:
         list(id_cols), values, "metric", "value")
 
 
-def _class_list(df: DataFrame, label: str, prediction: str, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Sorted union of observed labels and predictions (per group), one row per class."""
-    g = list(group_cols)
-    a = df.select(*g, F.col(label).alias("class"))
-    b = df.select(*g, F.col(prediction).alias("class"))
-    return a.unionByName(b).distinct()
+def _class_counts(df: DataFrame, label: str, prediction: str, group_cols: Sequence[str] = ()) -> DataFrame:
+    """Per class: support (true count), tp, predicted count -- over classes in labels or predictions.
+
+    One union + one aggregate (no join), so the class set is exactly label ∪ prediction.
+    """
+    g = [F.col(c) for c in group_cols]
+    y, p = F.col(label), F.col(prediction)
+    true_side = df.select(*g, y.alias("class"), F.lit(1).alias("_s"), (y == p).cast("int").alias("_tp"),
+                          F.lit(0).alias("_p"))
+    pred_side = df.select(*g, p.alias("class"), F.lit(0).alias("_s"), F.lit(0).alias("_tp"), F.lit(1).alias("_p"))
+    return true_side.unionByName(pred_side).groupBy(*group_cols, "class").agg(
+        F.sum("_s").cast("long").alias("support"), F.sum("_tp").cast("long").alias("tp"),
+        F.sum("_p").cast("long").alias("predicted"))
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction",
                      group_cols: Sequence[str] = ()) -> DataFrame:
-    """(label, prediction, count) for every pair of observed classes, zeros included."""
+    """(label, prediction, count) for every pair of observed classes, zeros included.
+
+    Observed pairs are counted once; the K x K zero grid comes from the (tiny) class
+    list exploded twice; both are unioned and summed -- no join.
+    """
     g = list(group_cols)
-    classes = _class_list(df, label, prediction, g)
-    # K x K pairs from the (tiny) class list: collect per group, explode twice
+    classes = _class_counts(df, label, prediction, g).select(*g, "class")
     grid = (classes.groupBy(*g).agg(F.sort_array(F.collect_list("class")).alias("_cls"))
             .select(*g, F.explode("_cls").alias(label), "_cls")
-            .select(*g, label, F.explode("_cls").alias(prediction)))
+            .select(*g, label, F.explode("_cls").alias(prediction), F.lit(0).cast("long").alias("count")))
     counts = df.groupBy(*g, label, prediction).agg(F.count(F.lit(1)).alias("count"))
-    return grid.join(counts, [*g, label, prediction], "left").select(
-        *g, label, prediction, F.coalesce("count", F.lit(0)).cast("long").alias("count"))
+    return grid.unionByName(counts).groupBy(*g, label, prediction).agg(F.sum("count").cast("long").alias("count"))
 
 
 def per_class_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction",
                       group_cols: Sequence[str] = ()) -> DataFrame:
     """precision, recall, F1 and support per class."""
     g = list(group_cols)
-    y, p = F.col(label), F.col(prediction)
-    classes = _class_list(df, label, prediction, g)
-    true_n = df.groupBy(*g, y.alias("class")).agg(F.count(F.lit(1)).alias("support"),
-                                                  F.count_if(y == p).alias("tp"))
-    pred_n = df.groupBy(*g, p.alias("class")).agg(F.count(F.lit(1)).alias("predicted"))
-    t = classes.join(true_n, [*g, "class"], "left").join(pred_n, [*g, "class"], "left").na.fill(
-        0, subset=["support", "tp", "predicted"])
+    t = _class_counts(df, label, prediction, g)
     precision = _safe_div(F.col("tp"), F.col("predicted"))
     recall = _safe_div(F.col("tp"), F.col("support"))
     return t.select(*g, "class", precision.alias("precision"), recall.alias("recall"),

@@ -62,6 +62,13 @@ def _split(spark, sf):
     return stratified_split(_labeled(spark, sf), RATIOS, seed=SEED)
 
 
+def _split_table(spark, sf) -> str:
+    """The split written once as a table partitioned by ``split`` (the train/test/val hand-off)."""
+    path = scratch_path(spark, "split-table")
+    io.write_splits(_split(spark, sf), path)
+    return path
+
+
 def _scored_pred(spark, sf):
     s = FX.scored(spark, sf)
     return s.withColumn("prediction", L.argmax(L.prob_array("p0", "p1", "p2", "p3", "p4")))
@@ -227,15 +234,16 @@ def _rich_prepared(df):
 
 
 def q_label_encode_joint(spark, sf):
-    sp = _rich_prepared(_split(spark, sf))
-    train, val = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "val")
+    path = _split_table(spark, sf)
+    train = _rich_prepared(io.read_split(spark, path, "train"))
+    val = _rich_prepared(io.read_split(spark, path, "val"))
     enc_train, enc_val = encode.label_encode_joint([train, val], RICH_CATEGORICALS)
     return enc_train.unionByName(enc_val).select("row_id", "split", *RICH_CATEGORICALS)
 
 
 def q_label_encode_frozen(spark, sf):
-    sp = _split(spark, sf)
-    train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
+    path = _split_table(spark, sf)
+    train, test = io.read_split(spark, path, "train"), io.read_split(spark, path, "test")
     return encode.label_encode_frozen(test, train, CATEGORICALS).select("row_id", *CATEGORICALS)
 
 

@@ -12,8 +12,25 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import BEHAVIOR_COLUMNS
+from ..session import scratch_path
 from .tables import table
 
+_STORED: dict[tuple, str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Derive a fixture once per session and keep it as a Parquet table in the shared folder.
+
+    Later reads are plain columnar scans (pruning, pushdown) instead of re-running the
+    derivation; the table also cuts lineage, so lost executors recompute nothing upstream.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    if key not in _STORED:
+        path = scratch_path(spark, f"fixture-{name}")
+        build().write.mode("overwrite").parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
 # Fixed values of the fixture definition: event type -> action code.
 EVENT_ACTION = {"view": 1, "purchase": 2, "signup": 3, "click": 4}
 OTHER_EVENT_ACTION = 5
@@ -27,6 +44,11 @@ def _action_code(c: Column) -> Column:
 
 
 def behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The behaviour log (stored once per session, see ``stored``)."""
+    return stored(spark, sf_dir, "behavior", lambda: derive_behavior(spark, sf_dir))
+
+
+def derive_behavior(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The behaviour log: events joined to part, supplier, customer, nation, region.
 
     The dimension joins are plain equi-joins; AQE turns them into broadcasts when the
@@ -83,6 +105,11 @@ def behavior_text(spark: SparkSession, sf_dir: str, with_bad: bool = True) -> Da
 
 
 def scored(spark: SparkSession, sf_dir: str, rotation: int = 0) -> DataFrame:
+    """Scored labels (stored once per session and rotation, see ``stored``)."""
+    return stored(spark, sf_dir, f"scored{rotation}", lambda: derive_scored(spark, sf_dir, rotation))
+
+
+def derive_scored(spark: SparkSession, sf_dir: str, rotation: int = 0) -> DataFrame:
     """Labels with deterministic probabilities (FIXTURES.md §3).
 
     ``rotation`` shifts the weight multipliers (7, 11, 13, 17, 19) for ensemble members.
