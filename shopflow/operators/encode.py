@@ -22,6 +22,12 @@ BROADCAST_MAX_ENTRIES = 2_000_000
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
+def _finish(ranked: DataFrame) -> DataFrame:
+    """Final (column, value, code) table, checkpointed: small, scanned by every column's join."""
+    out = ranked.select("column", "value", (F.col("_pos") - 1).cast("int").alias("code"))
+    return out.checkpoint(eager=True)
+
+
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
@@ -35,8 +41,7 @@ def fit_sorted_dictionary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     cols = _present(df, cols)
     vals = _union([df.select(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])
     vals = vals.where(F.col("value").isNotNull()).distinct()
-    ranked = positions(vals, ["value"], ["column"], pos_col="_pos")
-    return ranked.select("column", "value", (F.col("_pos") - 1).cast("int").alias("code"))
+    return _finish(positions(vals, ["value"], ["column"], pos_col="_pos"))
 
 
 def fit_native_dictionary(dfs: Sequence[DataFrame], cols: Sequence[str]) -> DataFrame:
@@ -57,8 +62,7 @@ def fit_native_dictionary(dfs: Sequence[DataFrame], cols: Sequence[str]) -> Data
                 (F.lit(None).cast("string") if numeric else F.col(c).cast("string")).alias("txt"),
                 F.col(c).cast("string").alias("value")))
     vals = _union(parts).where(F.col("value").isNotNull()).distinct()
-    ranked = positions(vals, ["num", "txt"], ["column"], pos_col="_pos")
-    return ranked.select("column", "value", (F.col("_pos") - 1).cast("int").alias("code"))
+    return _finish(positions(vals, ["num", "txt"], ["column"], pos_col="_pos"))
 
 
 def fit_first_seen_dictionary(df: DataFrame, cols: Sequence[str], order_col: str = "row_id") -> DataFrame:
@@ -67,8 +71,7 @@ def fit_first_seen_dictionary(df: DataFrame, cols: Sequence[str], order_col: str
     vals = _union([df.select(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"),
                              F.col(order_col).alias("_o")) for c in cols])
     first = vals.groupBy("column", "value").agg(F.min("_o").alias("_first"))
-    ranked = positions(first, ["_first", "value"], ["column"], pos_col="_pos")
-    return ranked.select("column", "value", (F.col("_pos") - 1).cast("int").alias("code"))
+    return _finish(positions(first, ["_first", "value"], ["column"], pos_col="_pos"))
 
 
 def dictionary_sizes(dictionary: DataFrame) -> dict[str, int]:

@@ -16,7 +16,7 @@ from ..functions.fill import fill_missing_typed, fill_missing_zero
 from ..functions.time import (clean_time_text, hour_bucket, parse_time_coerce, parse_time_strict,
                               time_parts, weekend_flag)
 from ..operators.encode import apply_dictionary, label_encode
-from ..operators.stats import attach_base_stats, attach_rich_stats, ratio_features
+from ..operators.stats import attach, attach_rich_stats, item_stats, ratio_features, user_stats
 from ..operators.windows import DEFAULT_ORDER, sequence_features
 from ..schema import CATEGORICALS, FEATURES, RICH_EXCLUDED
 
@@ -52,13 +52,16 @@ def base_features(df: DataFrame, mode: str = "coerce", keep: tuple[str, ...] = (
     itself (the reference's per-file behaviour); with one (e.g. fitted on the training
     split) every split shares its codes and unseen values get -1.
     """
-    out = prepare_time(df, mode)
-    out = fill_missing_typed(out)
+    filled = fill_missing_typed(prepare_time(df, mode))
+    # Statistics are taken on the filled values before encoding: codes are a bijection
+    # of the values, so counts and nunique agree, and these branches scan only the few
+    # columns they need instead of repeating the dictionary joins.
+    u, i = user_stats(filled), item_stats(filled)
     if dictionary is None:
-        out = label_encode(out, CATEGORICALS)
+        out = label_encode(filled, CATEGORICALS)
     else:
-        out = apply_dictionary(out, dictionary, CATEGORICALS)
-    out = attach_base_stats(out)
+        out = apply_dictionary(filled, dictionary, CATEGORICALS)
+    out = attach(attach(out, u, "user_log_acct"), i, "item_sku_id")
     return out.select(*keep, *[c for c in FEATURES if c in out.columns])
 
 
