@@ -38,18 +38,22 @@ def binary_metrics(df: DataFrame, label: str = "target", prediction: str = "pred
                     recall.alias("recall"), _f1(precision, recall).alias("f1"))
 
 
-def roc_auc(df: DataFrame, label: str = "target", score: str = "probability") -> DataFrame:
-    """Exact ROC AUC with ties counted one half (Mann-Whitney).
+def roc_auc(df: DataFrame, label: str = "target", score: str = "probability",
+            group_cols: Sequence[str] = ()) -> DataFrame:
+    """Exact ROC AUC with ties counted one half (Mann-Whitney), optionally per group.
 
     Rows are first reduced to one row per distinct score (positives, negatives);
     the negatives below each score come from range-partitioned prefix sums.
+    ``group_cols`` must have few values (e.g. boosting rounds).
     """
-    per_score = df.groupBy(score).agg(F.count_if(F.col(label) == 1).alias("_pos"),
-                                      F.count_if(F.col(label) != 1).alias("_neg"))
-    cum = prefix_sums(per_score, [score], ["_neg"], prefix="_below")
+    g = list(group_cols)
+    per_score = df.groupBy(*g, score).agg(F.count_if(F.col(label) == 1).alias("_pos"),
+                                          F.count_if(F.col(label) != 1).alias("_neg"))
+    cum = prefix_sums(per_score, [score], ["_neg"], group_cols=g, prefix="_below")
     wins = F.col("_pos").cast("double") * (F.col("_below_neg").cast("double") + F.col("_neg").cast("double") / 2)
-    agg = cum.agg(F.sum(wins).alias("_w"), F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"))
-    return agg.select(F.try_divide(F.col("_w"), F.col("_p").cast("double") * F.col("_n").cast("double")).alias("auc"))
+    agg = cum.groupBy(*g).agg(F.sum(wins).alias("_w"), F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"))
+    return agg.select(*g, F.try_divide(F.col("_w"), F.col("_p").cast("double") * F.col("_n").cast("double"))
+                      .alias("auc"))
 
 
 def metrics_long(metrics: DataFrame, id_cols: Sequence[str] = ()) -> DataFrame:

@@ -107,13 +107,19 @@ def q_train_binary(spark, sf):
 def q_early_stopping(spark, sf):
     m = binary_model(spark, sf)
     rows = [(i + 1, float(v), i + 1 <= m.best_iteration) for i, v in enumerate(m.curve)]
-    return spark.createDataFrame(rows, "iteration int, val_logloss double, kept boolean")
+    return spark.createDataFrame(rows, "iteration int, val_auc double, kept boolean")
 
 
 def q_learning_curve(spark, sf):
     m = binary_model(spark, sf)
     f = splits(spark, sf)["features"]
-    return T.learning_curve(m.path, spark, {"train": f["train"], "valid": f["val"]}, FEATURES, every=25)
+    return T.learning_curve(m.path, spark, {"train": f["train"], "valid": f["val"]}, FEATURES)
+
+
+def q_multiclass_learning_curve(spark, sf):
+    m = multiclass_model(spark, sf)
+    f = splits(spark, sf)["features"]
+    return T.multiclass_learning_curve(m, {"train": f["train"], "valid": f["val"]}, NUM_CLASSES)
 
 
 def q_train_multiclass(spark, sf):

@@ -27,7 +27,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.labels import argmax
-from ..operators.metrics import roc_auc
 from ..session import checkpoint_root, scratch_path
 
 FEATURES_COL = "features"
@@ -138,20 +137,36 @@ class BinaryModel:
 
 
 def fit_binary(train: DataFrame, val: DataFrame | None, features: Sequence[str], params: BoostParams = BINARY_PARAMS,
-               label_col: str = "target", path: str | None = None) -> BinaryModel:
-    """Fit, then keep the best tree prefix by validation log loss with ``params.patience``."""
+               label_col: str = "target", path: str | None = None, stop_metric: str = "auc",
+               eval_every: int = 1) -> BinaryModel:
+    """Fit ``max_iter`` rounds, then keep the best tree prefix by ``params.patience`` on the validation curve.
+
+    ``stop_metric='auc'`` (the reference's) scores every ``eval_every``-th round exactly
+    from staged margins; ``'logloss'`` reads MLlib's per-round loss (cheaper).
+    """
+    from .staged import binary_round_metrics, curve_from_metrics, staged_margins
+
     spark = train.sparkSession
     checkpoint_root(spark)
     path = path or scratch_path(spark, "binary-model")
     tr = assemble(train.withColumn(label_col, F.col(label_col).cast("double")), features)
     full = params.estimator(label_col).fit(tr)
     full.write().overwrite().save(f"{path}/full")
-    curve, best = [], full.getNumTrees
+    n = full.getNumTrees
+    curve, best = [], n
     if val is not None:
-        va = assemble(val.withColumn(label_col, F.col(label_col).cast("double")), features)
-        curve = [x / 2.0 for x in full.evaluateEachIteration(va)]  # MLlib log loss is twice the usual one
-        best = best_prefix(curve, params.patience)
-    model = truncate_gbt(spark, f"{path}/full", best, f"{path}/best") if best < full.getNumTrees else full
+        if stop_metric == "auc":
+            rounds = list(range(eval_every, n + 1, eval_every))
+            staged = staged_margins(val, {0: f"{path}/full"}, features, rounds, keep=[label_col])
+            curve = curve_from_metrics(binary_round_metrics(staged, label_col), "auc")
+            best = best_prefix(curve, max(1, params.patience // eval_every), higher_is_better=True) * eval_every
+        elif stop_metric == "logloss":
+            va = assemble(val.withColumn(label_col, F.col(label_col).cast("double")), features)
+            curve = [x / 2.0 for x in full.evaluateEachIteration(va)]  # MLlib log loss is twice the usual one
+            best = best_prefix(curve, params.patience)
+        else:
+            raise ValueError(f"unknown stop metric {stop_metric!r}")
+    model = truncate_gbt(spark, f"{path}/full", best, f"{path}/best") if best < n else full
     return BinaryModel(model, list(features), best, path, curve)
 
 
@@ -197,8 +212,12 @@ def _fit_members(estimators: dict[int, GBTClassifier], data: dict[int, DataFrame
 def fit_multiclass(train: DataFrame, val: DataFrame | None, features: Sequence[str],
                    params: BoostParams = MULTICLASS_PARAMS, label_col: str = "label", weight_col: str | None = "weight",
                    num_classes: int = 5, path: str | None = None, threads: int = 5,
-                   resume: bool = True) -> MultiClassModel:
-    """One weighted GBT per class; members already saved under ``path`` are loaded, not refitted."""
+                   resume: bool = True, stop_metric: str = "multi_logloss", eval_every: int = 1) -> MultiClassModel:
+    """One weighted GBT per class; members already saved under ``path`` are loaded, not refitted.
+
+    The patience rule runs on the validation ``multi_logloss`` (or ``macro_acc``) of the
+    normalised one-vs-rest probabilities, computed exactly per round from staged margins.
+    """
     spark = train.sparkSession
     checkpoint_root(spark)
     path = path or scratch_path(spark, "multiclass-model")
@@ -215,17 +234,17 @@ def fit_multiclass(train: DataFrame, val: DataFrame | None, features: Sequence[s
     for c, m in fitted.items():
         m.write().overwrite().save(f"{path}/class_{c}/full")
         members[c] = m
-    curve, best = [], min(m.getNumTrees for m in members.values())
+    n = min(m.getNumTrees for m in members.values())
+    curve, best = [], n
     if val is not None:
-        vb = assemble(val, features)
-        if weight_col:
-            vb = vb.withColumn(weight_col, F.lit(1.0))  # validation rows are unweighted
-        curves = []
-        for c in sorted(members):
-            vc = vb.withColumn("_y", (F.col(label_col) == c).cast("double"))
-            curves.append(members[c].evaluateEachIteration(vc))
-        curve = [sum(v) / (2.0 * len(v)) for v in zip(*curves)]
-        best = best_prefix(curve, params.patience)
+        from .staged import curve_from_metrics, multiclass_round_metrics, staged_margins
+
+        rounds = list(range(eval_every, n + 1, eval_every))
+        paths = {c: f"{path}/class_{c}/full" for c in members}
+        staged = staged_margins(val, paths, features, rounds, keep=[label_col])
+        curve = curve_from_metrics(multiclass_round_metrics(staged, num_classes, label_col), stop_metric)
+        higher = stop_metric == "macro_acc"
+        best = best_prefix(curve, max(1, params.patience // eval_every), higher_is_better=higher) * eval_every
     if best < min(m.getNumTrees for m in members.values()):
         members = {c: truncate_gbt(spark, f"{path}/class_{c}/full", best, f"{path}/class_{c}/best") for c in members}
     return MultiClassModel(members, list(features), best, path, curve)
@@ -233,28 +252,40 @@ def fit_multiclass(train: DataFrame, val: DataFrame | None, features: Sequence[s
 
 # ------------------------------------------------------------------ learning curves
 def learning_curve(model_path: str, spark: SparkSession, sets: dict[str, DataFrame], features: Sequence[str],
-                   label_col: str = "target", every: int = 10) -> DataFrame:
-    """(iteration, split, metric, value): log loss at every round, AUC at every ``every``-th round."""
+                   label_col: str = "target", every: int = 1) -> DataFrame:
+    """Binary model: (iteration, split, metric, value) with log loss and exact AUC per round."""
+    from .staged import binary_round_metrics, staged_margins
+
     full = GBTClassificationModel.load(f"{model_path}/full")
-    rows = []
+    rounds = list(range(every, full.getNumTrees + 1, every))
+    out = None
     for name, df in sets.items():
-        d = assemble(df.withColumn(label_col, F.col(label_col).cast("double")), features)
-        for i, v in enumerate(full.evaluateEachIteration(d)):
-            rows.append((i + 1, name, "binary_logloss", v / 2.0))
-    curve = spark.createDataFrame(rows, "iteration int, split string, metric string, value double")
-    n = full.getNumTrees
-    points = sorted(set(list(range(every, n + 1, every)) + [n]))
-    aucs = []
-    for it in points:
-        m = full if it == n else truncate_gbt(spark, f"{model_path}/full", it, f"{model_path}/curve_{it}")
-        for name, df in sets.items():
-            scored = m.transform(assemble(df, features)).select(
-                F.col(label_col).alias("target"), positive_probability().alias("probability"))
-            aucs.append(roc_auc(scored).select(F.lit(it).alias("iteration"), F.lit(name).alias("split"),
-                                               F.lit("auc").alias("metric"), F.col("auc").alias("value")))
-    out = curve
-    for a in aucs:
-        out = out.unionByName(a)
+        m = binary_round_metrics(staged_margins(df, {0: f"{model_path}/full"}, features, rounds, [label_col]),
+                                 label_col)
+        part = m.select(F.col("round").alias("iteration"), F.lit(name).alias("split"),
+                        F.create_map(F.lit("auc"), F.col("auc"), F.lit("binary_logloss"), F.col("logloss"))
+                        .alias("_m")).select("iteration", "split", F.explode("_m").alias("metric", "value"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def multiclass_learning_curve(model: "MultiClassModel", sets: dict[str, DataFrame], num_classes: int = 5,
+                              label_col: str = "label", every: int = 1) -> DataFrame:
+    """Five-class model: (iteration, split, metric, value) with macro accuracy and multi-class log loss."""
+    from .staged import multiclass_round_metrics, staged_margins
+
+    paths = {c: f"{model.path}/class_{c}/full" for c in model.members}
+    n = min(GBTClassificationModel.load(p).getNumTrees for p in paths.values())  # all fitted rounds
+    rounds = list(range(every, n + 1, every))
+    out = None
+    for name, df in sets.items():
+        m = multiclass_round_metrics(staged_margins(df, paths, model.features, rounds, [label_col]),
+                                     num_classes, label_col)
+        part = m.select(F.col("round").alias("iteration"), F.lit(name).alias("split"),
+                        F.create_map(F.lit("macro_acc"), F.col("macro_acc"), F.lit("multi_logloss"),
+                                     F.col("multi_logloss")).alias("_m")).select(
+            "iteration", "split", F.explode("_m").alias("metric", "value"))
+        out = part if out is None else out.unionByName(part)
     return out
 
 

@@ -24,9 +24,31 @@ def small(spark):
     return f, params
 
 
-def test_binary_truncation_and_roundtrip(spark, small):
+def test_staged_margins_equal_mllib(spark, small):
+    from pyspark.ml.functions import vector_to_array
+
+    from shopflow.plans.staged import staged_margins
+
     f, params = small
     m = T.fit_binary(f["train"], f["val"], FEATURES, params)
+    cut = T.truncate_gbt(spark, f"{m.path}/full", 3, f"{m.path}/cut3s")
+    staged = staged_margins(f["test"], {0: f"{m.path}/full"}, FEATURES, [3, 8], ["row_id"]).toPandas()
+    for rounds, model in ((8, GBT_FULL(m)), (3, cut)):
+        raw = model.transform(T.assemble(f["test"], FEATURES)).select(
+            "row_id", vector_to_array("rawPrediction")[1].alias("r")).toPandas()
+        got = staged[staged["round"] == rounds].assign(g=lambda d: d["margins"].map(lambda a: a[0]))
+        j = raw.merge(got, on="row_id")
+        assert len(j) == len(raw) and (j["r"] - j["g"]).abs().max() < 1e-9
+
+
+def GBT_FULL(m):
+    from pyspark.ml.classification import GBTClassificationModel
+    return GBTClassificationModel.load(f"{m.path}/full")
+
+
+def test_binary_truncation_and_roundtrip(spark, small):
+    f, params = small
+    m = T.fit_binary(f["train"], f["val"], FEATURES, params, stop_metric="logloss")
     out = m.transform(f["test"]).select("probability").toPandas()["probability"]
     assert out.between(0, 1).all()
     # a 3-tree prefix has exactly the loss MLlib reports for round 3
