@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier, LogisticRegression,
                                        LogisticRegressionModel, RandomForestClassificationModel,
                                        RandomForestClassifier)
@@ -74,6 +75,22 @@ def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol=FEATURES_COL, handleInvalid="keep").transform(filled)
 
 
+ROWS_PER_TRAINING_TASK = 20_000
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Training input over enough partitions: MLlib aggregates tree statistics per partition,
+    so a one-file split would otherwise build every tree on one core.  Only inputs with
+    fewer partitions than the default parallelism are counted and, if large enough, spread
+    to about one partition per ``ROWS_PER_TRAINING_TASK`` rows."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    if have >= n:
+        return df
+    want = min(n, -(-df.count() // ROWS_PER_TRAINING_TASK))
+    return df.repartition(want) if want > have else df
+
+
 def positive_probability(col: str = "probability"):
     return vector_to_array(F.col(col))[1]
 
@@ -149,7 +166,7 @@ def fit_binary(train: DataFrame, val: DataFrame | None, features: Sequence[str],
     spark = train.sparkSession
     checkpoint_root(spark)
     path = path or scratch_path(spark, "binary-model")
-    tr = assemble(train.withColumn(label_col, F.col(label_col).cast("double")), features)
+    tr = spread(assemble(train.withColumn(label_col, F.col(label_col).cast("double")), features))
     full = params.estimator(label_col).fit(tr)
     full.write().overwrite().save(f"{path}/full")
     n = full.getNumTrees
@@ -221,7 +238,7 @@ def fit_multiclass(train: DataFrame, val: DataFrame | None, features: Sequence[s
     spark = train.sparkSession
     checkpoint_root(spark)
     path = path or scratch_path(spark, "multiclass-model")
-    base = assemble(train, features)
+    base = spread(assemble(train, features))
     data, ests, members = {}, {}, {}
     for c in range(num_classes):
         mpath = f"{path}/class_{c}/full"
@@ -230,7 +247,10 @@ def fit_multiclass(train: DataFrame, val: DataFrame | None, features: Sequence[s
             continue
         data[c] = base.withColumn("_y", (F.col(label_col) == c).cast("double"))
         ests[c] = params.estimator("_y", weight_col)
+    if ests:
+        base.persist(StorageLevel.MEMORY_AND_DISK)  # shared by the concurrent member fits
     fitted = _fit_members(ests, data, threads)
+    base.unpersist()
     for c, m in fitted.items():
         m.write().overwrite().save(f"{path}/class_{c}/full")
         members[c] = m
@@ -324,7 +344,7 @@ def fit_ensemble(train: DataFrame, val: DataFrame | None, features: Sequence[str
     path = path or scratch_path(spark, "ensemble")
     boosted = fit_multiclass(train, val, features, params, label_col=label_col, weight_col=None,
                              path=f"{path}/boosted", resume=resume)
-    tr = assemble(train.withColumn(label_col, F.col(label_col).cast("double")), features)
+    tr = spread(assemble(train.withColumn(label_col, F.col(label_col).cast("double")), features))
     rf_path, lr_path = f"{path}/forest", f"{path}/linear"
     if resume and path_exists(spark, f"{rf_path}/metadata"):
         forest = RandomForestClassificationModel.load(rf_path)
