@@ -4,20 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import BEHAVIOR_SCHEMA
 
 CSV_OPTIONS = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]"}
 
 
-def load_behavior(spark: SparkSession, path: str, fmt: str = "csv", schema=BEHAVIOR_SCHEMA) -> DataFrame:
-    """Read a behaviour log with a declared schema (no inference pass)."""
-    reader = spark.read.schema(schema)
+def load_behavior(spark: SparkSession, path: str, fmt: str = "csv", schema=BEHAVIOR_SCHEMA,
+                  row_id: str = "auto") -> DataFrame:
+    """Read a behaviour log with a declared schema (no inference pass).
+
+    Logs in the reference's layout have no ``row_id``: with ``row_id='auto'`` the CSV
+    header (one line) or the Parquet schema decides, and a missing id is assigned in
+    file order (``monotonically_increasing_id`` follows the split order of a file).
+    """
+    names = [f.name for f in schema.fields]
     if fmt == "csv":
-        return reader.options(**CSV_OPTIONS).csv(path)
-    if fmt == "parquet":
-        return reader.parquet(path)
-    raise ValueError(f"unsupported format {fmt!r}")
+        has_id = "row_id" in names
+        if row_id == "auto" and has_id:
+            header = spark.read.text(path).first()
+            has_id = header is not None and "row_id" in [h.strip() for h in header[0].split(",")]
+        elif row_id == "assign":
+            has_id = False
+        body = schema if has_id else T.StructType([f for f in schema.fields if f.name != "row_id"])
+        df = spark.read.schema(body).options(**CSV_OPTIONS).csv(path)
+    elif fmt == "parquet":
+        df = spark.read.parquet(path)
+        df = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields if f.name in df.columns])
+    else:
+        raise ValueError(f"unsupported format {fmt!r}")
+    if "row_id" not in df.columns and "row_id" in names:
+        df = df.withColumn("row_id", F.monotonically_increasing_id()).select(*names)
+    return df
 
 
 def head_n(df: DataFrame, n: int, order_col: str = "row_id") -> DataFrame:

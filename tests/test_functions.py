@@ -73,3 +73,21 @@ def test_request_defaults(spark):
     assert r.age == -1 and r.sex == -1 and r.shop_score == 1.5
     assert r.action_time == "2024-02-01 12:00:00"
     assert F is not None
+
+
+def test_load_reference_layout_csv_assigns_file_order(spark, tmp_path):
+    from shopflow.schema import BEHAVIOR_COLUMNS
+    from shopflow.sources import io
+
+    path = str(tmp_path / "log.csv")
+    cols = [c for c in BEHAVIOR_COLUMNS if c != "row_id"]
+    lines = [",".join(cols)]
+    for i in range(5):
+        lines.append(f"u{i},{100 + i},2024-01-0{i + 1} 10:00:00,{1 + i % 5},b{i},{i},c,{i},1.5,2,1,3,p,c,x")
+    with open(path, "w") as f:
+        f.write("\n".join(lines) + "\n")
+    df = io.load_behavior(spark, path)
+    rows = df.orderBy("row_id").collect()
+    assert df.columns == BEHAVIOR_COLUMNS
+    assert [r.item_sku_id for r in rows] == [100, 101, 102, 103, 104]
+    assert rows[2].action_time == dt.datetime(2024, 1, 3, 10, 0, 0) and rows[0].shop_score == 1.5
