@@ -63,6 +63,15 @@ def metrics_long(metrics: DataFrame, id_cols: Sequence[str] = ()) -> DataFrame:
         list(id_cols), values, "metric", "value")
 
 
+def evaluation_report(df: DataFrame, label: str = "target", prediction: str = "prediction",
+                      score: str = "probability") -> DataFrame:
+    """The binary evaluation set as (metric, value): accuracy, precision, recall, f1, auc, tn, fp, fn, tp."""
+    m = metrics_long(binary_metrics(df, label, prediction))
+    auc = roc_auc(df, label, score).select(F.lit("auc").alias("metric"), F.col("auc").cast("double").alias("value"))
+    conf = metrics_long(confusion_binary(df, label, prediction))
+    return m.unionByName(auc).unionByName(conf)
+
+
 def _class_counts(df: DataFrame, label: str, prediction: str, group_cols: Sequence[str] = ()) -> DataFrame:
     """Per class: support (true count), tp, predicted count -- over classes in labels or predictions.
 

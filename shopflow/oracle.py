@@ -512,6 +512,13 @@ cw2 as (select label, class_count, sqrt(cast(sum(class_count) over () as double)
     q["metrics_long"] = with_(K_CTE, scored_cte(), BIN_PRED, BIN_METRICS) + \
         "select metric, round(value, 6) as value from (unpivot bm2 on accuracy, precision, recall, f1 " \
         "into name metric value value)"
+    q["evaluation_report"] = with_(K_CTE, scored_cte(), BIN_PRED, BIN_METRICS) + """select metric, round(value, 6) as value
+  from (unpivot bm2 on accuracy, precision, recall, f1 into name metric value value)
+  union all select 'auc' as metric, round((sum(case when target = 1 then r end) - p * (p + 1) / 2.0) / (p * n), 6) from
+  (select target, rank() over (order by probability) + (count(*) over (partition by probability) - 1) / 2.0 as r,
+   cast(sum(case when target = 1 then 1 else 0 end) over () as double) as p,
+   cast(sum(case when target = 1 then 0 else 1 end) over () as double) as n from scored) group by p, n
+  union all select metric, cast(value as double) from (unpivot cb on tn, fp, fn, tp into name metric value value)"""
     q["roc_auc"] = sc + """select round((sum(case when target = 1 then r end) - p * (p + 1) / 2.0) / (p * n), 6) as auc from
   (select target, rank() over (order by probability) + (count(*) over (partition by probability) - 1) / 2.0 as r,
    cast(sum(case when target = 1 then 1 else 0 end) over () as double) as p,

@@ -451,6 +451,10 @@ def q_metrics_long(spark, sf):
     return metrics.metrics_long(metrics.binary_metrics(_binary_scored(spark, sf)))
 
 
+def q_evaluation_report(spark, sf):
+    return metrics.evaluation_report(_binary_scored(spark, sf))
+
+
 def q_split_metrics(spark, sf):
     s = _scored_pred(spark, sf)
     sp = stratified_split(s, RATIOS, seed=SEED)
