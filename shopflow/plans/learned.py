@@ -23,7 +23,9 @@ from ..session import scratch_path
 from ..sources import fixtures as FX
 from ..sources import io
 from . import train as T
-from .features import base_features, prepare_time
+from ..operators.encode import label_encode_joint
+from ..schema import RICH_CATEGORICALS
+from .features import base_features, prepare_time, rich_feature_matrix, rich_features
 from .score import request_backfill, sample_means  # noqa: F401
 
 SEED = 42
@@ -80,10 +82,21 @@ def multiclass_model(spark: SparkSession, sf: str) -> T.MultiClassModel:
     return _cached(spark, sf, "multiclass", build)
 
 
+def rich_sets(spark: SparkSession, sf: str) -> dict:
+    """The rich path: features per split file, one joint dictionary over train and validation (8 columns)."""
+    def build():
+        raw = splits(spark, sf)["raw"]
+        rich = {n: rich_features(raw[n]) for n in ("train", "val")}
+        enc_train, enc_val = label_encode_joint([rich["train"], rich["val"]], RICH_CATEGORICALS)
+        cols = [c for c in rich_feature_matrix(enc_train).columns]
+        return {"train": enc_train, "val": enc_val, "features": cols}
+    return _cached(spark, sf, "rich_sets", build)
+
+
 def ensemble(spark: SparkSession, sf: str, path: str | None = None) -> T.Ensemble:
     def build():
-        f = splits(spark, sf)["features"]
-        return T.fit_ensemble(f["train"], f["val"], FEATURES, MULTICLASS_QUERY_PARAMS, label_col="label",
+        r = rich_sets(spark, sf)
+        return T.fit_ensemble(r["train"], r["val"], r["features"], MULTICLASS_QUERY_PARAMS, label_col="label",
                               path=path, num_trees=30, max_iter_linear=50)
     return _cached(spark, sf, f"ensemble:{path}", build)
 
@@ -131,20 +144,33 @@ def q_train_multiclass(spark, sf):
 
 def q_train_ensemble_members(spark, sf):
     e = ensemble(spark, sf)
-    out = e.transform(splits(spark, sf)["features"]["val"])
+    out = e.transform(rich_sets(spark, sf)["val"])
     return out.select("row_id", "label", L.argmax("p_boosted").alias("boosted"), L.argmax("p_forest").alias("forest"),
                       L.argmax("p_linear").alias("linear"), F.col("prediction").alias("voting"))
 
 
+def q_ensemble_comparison(spark, sf):
+    """Validation accuracy and weighted precision / recall / F1 of each member and of the vote."""
+    from ..operators.metrics import model_comparison
+
+    m = q_train_ensemble_members(spark, sf)
+    stacked = None
+    for name in ("boosted", "forest", "linear", "voting"):
+        part = m.select(F.lit(name).alias("model"), "label", F.col(name).alias("prediction"))
+        stacked = part if stacked is None else stacked.unionByName(part)
+    return model_comparison(stacked)
+
+
 def q_resume_training(spark, sf):
     path = scratch_path(spark, "resumable-ensemble")
-    f = splits(spark, sf)["features"]
-    T.fit_ensemble(f["train"], None, FEATURES, MULTICLASS_QUERY_PARAMS, label_col="label", path=path,
+    r = rich_sets(spark, sf)
+    f, feats = {"train": r["train"]}, r["features"]
+    T.fit_ensemble(f["train"], None, feats, MULTICLASS_QUERY_PARAMS, label_col="label", path=path,
                    num_trees=10, max_iter_linear=20)
     members = [f"boosted/class_{c}/full" for c in range(NUM_CLASSES)] + ["forest", "linear"]
     saved = [(m, T.path_exists(spark, f"{path}/{m}/metadata")) for m in members]
     # second run: every member is found and loaded instead of refitted
-    T.fit_ensemble(f["train"], None, FEATURES, MULTICLASS_QUERY_PARAMS, label_col="label", path=path,
+    T.fit_ensemble(f["train"], None, feats, MULTICLASS_QUERY_PARAMS, label_col="label", path=path,
                    num_trees=10, max_iter_linear=20, resume=True)
     return spark.createDataFrame(saved, "member string, saved boolean")
 
