@@ -26,7 +26,7 @@ from . import train as T
 from ..operators.encode import label_encode_joint
 from ..schema import RICH_CATEGORICALS
 from .features import base_features, prepare_time, rich_feature_matrix, rich_features
-from .score import request_backfill, sample_means  # noqa: F401
+from .score import request_backfill
 
 SEED = 42
 RATIOS = (0.7, 0.15, 0.15)
