@@ -66,10 +66,18 @@ def family_available(df: DataFrame, key: str) -> bool:
     return key in df.columns and all(src in df.columns for src, _ in spec)
 
 
-def rich_stats(df: DataFrame, key: str) -> DataFrame:
+# Ratio inputs a family does not publish: computed in the same aggregate, used by the
+# ratios, then dropped (saves a separate aggregate and a full join-back per ratio).
+RATIO_INPUTS = {"user_log_acct": [("shop_id", "count")]}
+
+
+def rich_stats(df: DataFrame, key: str, ratio_inputs: bool = False) -> DataFrame:
     """One rich statistics family (user: 10, item: 9, shop: 9 columns)."""
     prefix, spec = RICH_FAMILIES[key]
     aggs = [_AGG[how](src).alias(f"{prefix}_{src}_{how}") for src, hows in spec for how in hows]
+    if ratio_inputs:
+        aggs += [_AGG[how](src).alias(f"_{prefix}_{src}_{how}") for src, how in RATIO_INPUTS.get(key, [])
+                 if src in df.columns]
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(*aggs)
 
 
@@ -95,12 +103,15 @@ def attach_base_stats(df: DataFrame) -> DataFrame:
     return attach(out, item_stats(out), "item_sku_id")
 
 
-def attach_rich_stats(df: DataFrame, skipped: list[str] | None = None) -> DataFrame:
-    """User, item and shop families in that order; a family whose columns are absent is skipped."""
+def attach_rich_stats(df: DataFrame, skipped: list[str] | None = None, ratio_inputs: bool = False) -> DataFrame:
+    """User, item and shop families in that order; a family whose columns are absent is skipped.
+
+    ``ratio_inputs`` also attaches the hidden ``_``-prefixed ratio inputs (``ratio_features`` drops them).
+    """
     out = df
     for key in ("user_log_acct", "item_sku_id", "shop_id"):
         if family_available(out, key):
-            out = attach(out, rich_stats(out, key), key)
+            out = attach(out, rich_stats(out, key, ratio_inputs), key)
         elif skipped is not None:
             skipped.append(key)
     return out
@@ -126,9 +137,10 @@ RATIOS = {
 def _ratio_from_family(df: DataFrame, name: str) -> Column | None:
     key, col = RATIOS[name]
     prefix = RICH_FAMILIES[key][0]
-    cnt, nun = f"{prefix}_{col}_count", f"{prefix}_{col}_nunique"
-    if cnt in df.columns and nun in df.columns:
-        return F.try_divide(F.col(cnt).cast("double"), F.col(nun).cast("double"))
+    nun = f"{prefix}_{col}_nunique"
+    for cnt in (f"{prefix}_{col}_count", f"_{prefix}_{col}_count"):
+        if cnt in df.columns and nun in df.columns:
+            return F.try_divide(F.col(cnt).cast("double"), F.col(nun).cast("double"))
     return None
 
 
@@ -156,4 +168,5 @@ def ratio_features(df: DataFrame, names: Sequence[str] = tuple(RATIOS)) -> DataF
         stats = stats.select(key, *[F.try_divide(F.col(f"_c_{n}").cast("double"), F.col(f"_n_{n}").cast("double"))
                                     .alias(n) for n, _ in items])
         out = attach(out, stats, key)
-    return out
+    hidden = [f"_{RICH_FAMILIES[k][0]}_{src}_{how}" for k, items in RATIO_INPUTS.items() for src, how in items]
+    return out.drop(*[c for c in hidden if c in out.columns])

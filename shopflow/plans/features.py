@@ -78,7 +78,7 @@ def rich_features(df: DataFrame, order_by=DEFAULT_ORDER, skipped: list[str] | No
         out = sequence_features(out, order_by=order_by)
     elif skipped is not None:
         skipped.append("sequence")
-    out = attach_rich_stats(out, skipped)
+    out = attach_rich_stats(out, skipped, ratio_inputs=True)
     out = ratio_features(out)
     return fill_missing_zero(out)
 
