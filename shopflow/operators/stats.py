@@ -99,8 +99,8 @@ def attach(df: DataFrame, stats: DataFrame, key: str) -> DataFrame:
 
 
 def attach_base_stats(df: DataFrame) -> DataFrame:
-    out = attach(df, user_stats(df), "user_log_acct")
-    return attach(out, item_stats(out), "item_sku_id")
+    """User then item statistics, both aggregated from ``df`` itself (the join adds no rows)."""
+    return attach(attach(df, user_stats(df), "user_log_acct"), item_stats(df), "item_sku_id")
 
 
 def attach_rich_stats(df: DataFrame, skipped: list[str] | None = None, ratio_inputs: bool = False) -> DataFrame:
