@@ -91,3 +91,13 @@ def test_load_reference_layout_csv_assigns_file_order(spark, tmp_path):
     assert df.columns == BEHAVIOR_COLUMNS
     assert [r.item_sku_id for r in rows] == [100, 101, 102, 103, 104]
     assert rows[2].action_time == dt.datetime(2024, 1, 3, 10, 0, 0) and rows[0].shop_score == 1.5
+
+
+def test_parse_strict_raises(spark):
+    import pytest
+
+    from shopflow.functions.time import parse_time_strict
+
+    df = spark.createDataFrame([("2024-01-05 10:11:12",), ("not-a-time",)], "t string")
+    with pytest.raises(Exception):
+        df.select(parse_time_strict("t")).collect()

@@ -66,3 +66,17 @@ def test_split_properties(spark):
     assert abs(shares["train"] - shares["val"]) < 2 / 750
     with pytest.raises(ValueError):
         stratified_split(df, (0.7, 0.2, 0.2))
+
+
+def test_hot_key_spreads_over_blocks(spark):
+    from shopflow.operators.ordered import range_blocks
+
+    # one user with a third of all rows
+    df = spark.range(30000).select(
+        F.col("id").alias("row_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("u"), (F.col("id") % 997).cast("string")))
+        .alias("user"), (F.col("id") * 7 % 1000).alias("t"))
+    tagged = range_blocks(df, ["user", "t", "row_id"], num_blocks=12)
+    per_block = tagged.where(F.col("user") == "hot").groupBy("_blk").count().collect()
+    assert len(per_block) >= 3  # the hot key is not in one task
+    assert max(r["count"] for r in per_block) <= 10000 * 0.6
