@@ -214,7 +214,8 @@ def score_requests(spark: SparkSession, requests: DataFrame, sample: DataFrame,
     if isinstance(model, T.MultiClassModel):
         out = model.class_probabilities(feats).withColumn("_p", F.col("probabilities"))
     else:
-        out = model.transform(feats).withColumn("_p", F.array(1 - F.col("probability"), F.col("probability")))
+        # a binary model gives one probability per record; it is padded like any short row
+        out = model.transform(feats).withColumn("_p", F.array(F.col("probability")))
     out = out.withColumn("_p", L.pad_probabilities("_p"))
     pred = L.argmax("_p") + 1
     return out.select("row_id", pred.alias("action_type"), L.action_name(pred, one_based=True).alias("action_name"),
