@@ -29,6 +29,26 @@ def user_stats(df: DataFrame) -> DataFrame:
     )
 
 
+def leave_one_out_mean(total: str, n: str, own: str) -> Column:
+    """Mean of the other rows of the group: (sum - own) / (n - 1); NULL for a group of one."""
+    return F.try_divide(F.col(total) - F.col(own), (F.col(n) - 1).cast("double"))
+
+
+def attach_leave_one_out_means(df: DataFrame, value: str = "action_type") -> DataFrame:
+    """``user_action_mean`` and ``item_action_mean`` without the row's own value (label-leak free).
+
+    One aggregate per key carries (sum, count); the per-row correction is a projection.
+    """
+    out = df
+    for key, name in (("user_log_acct", "user_action_mean"), ("item_sku_id", "item_action_mean")):
+        agg = df.where(F.col(key).isNotNull()).groupBy(key).agg(
+            F.sum(value).alias(f"_s_{name}"), F.count(value).alias(f"_n_{name}"))
+        out = attach(out.drop(name) if name in out.columns else out, agg, key)
+        out = out.withColumn(name, leave_one_out_mean(f"_s_{name}", f"_n_{name}", value)).drop(
+            f"_s_{name}", f"_n_{name}")
+    return out
+
+
 def item_stats(df: DataFrame) -> DataFrame:
     """Two item statistics of the 22-feature path."""
     return df.where(F.col("item_sku_id").isNotNull()).groupBy("item_sku_id").agg(

@@ -465,6 +465,13 @@ def statements() -> dict[str, str]:
    where {key} is not null group by {key}) r using ({key})"""
     q["base_features"] = with_(K_CTE, BEHAVIOR_CTE, base_features_ctes()) + """select * replace (
   round(user_action_mean, 6) as user_action_mean, round(item_action_mean, 6) as item_action_mean) from basef"""
+    q["leave_one_out_means"] = B + """select row_id,
+  round(case when count(action_type) over (partition by user_log_acct) <= 1 then null else
+    cast(sum(action_type) over (partition by user_log_acct) - action_type as double)
+    / (count(action_type) over (partition by user_log_acct) - 1) end, 6) as user_action_mean,
+  round(case when count(action_type) over (partition by item_sku_id) <= 1 then null else
+    cast(sum(action_type) over (partition by item_sku_id) - action_type as double)
+    / (count(action_type) over (partition by item_sku_id) - 1) end, 6) as item_action_mean from behavior"""
     win = "window w as (partition by user_log_acct order by action_time, row_id)"
     q["hour_diff"] = tm + f"select row_id, cast(hour - lag(hour) over w as double) as hour_diff from timed {win}"
     q["action_gap_seconds"] = tm + f"""select row_id,

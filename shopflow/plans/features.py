@@ -16,7 +16,8 @@ from ..functions.fill import fill_missing_typed, fill_missing_zero
 from ..functions.time import (clean_time_text, hour_bucket, parse_time_coerce, parse_time_strict,
                               time_parts, weekend_flag)
 from ..operators.encode import apply_dictionary, label_encode
-from ..operators.stats import attach, attach_rich_stats, item_stats, ratio_features, user_stats
+from ..operators.stats import (attach, attach_leave_one_out_means, attach_rich_stats, item_stats, ratio_features,
+                               user_stats)
 from ..operators.windows import DEFAULT_ORDER, sequence_features
 from ..schema import CATEGORICALS, FEATURES, RICH_EXCLUDED
 
@@ -45,7 +46,7 @@ def select_features(df: DataFrame, features=FEATURES) -> DataFrame:
 
 
 def base_features(df: DataFrame, mode: str = "coerce", keep: tuple[str, ...] = (),
-                  dictionary: DataFrame | None = None) -> DataFrame:
+                  dictionary: DataFrame | None = None, leave_one_out: bool = False) -> DataFrame:
     """22-feature matrix (plus ``keep`` columns, e.g. ids and target).
 
     Without ``dictionary`` the categories are encoded by a dictionary fitted on ``df``
@@ -61,7 +62,12 @@ def base_features(df: DataFrame, mode: str = "coerce", keep: tuple[str, ...] = (
         out = label_encode(filled, CATEGORICALS)
     else:
         out = apply_dictionary(filled, dictionary, CATEGORICALS)
+    if leave_one_out:
+        # the two action means without the row's own action (the reference's means include it)
+        u, i = u.drop("user_action_mean"), i.drop("item_action_mean")
     out = attach(attach(out, u, "user_log_acct"), i, "item_sku_id")
+    if leave_one_out:
+        out = attach_leave_one_out_means(out)
     return out.select(*keep, *[c for c in FEATURES if c in out.columns])
 
 

@@ -304,6 +304,11 @@ def q_rich_features(spark, sf):
     return P.rich_features(_filled(spark, sf))
 
 
+def q_leave_one_out_means(spark, sf):
+    out = stats.attach_leave_one_out_means(_behavior(spark, sf))
+    return out.select("row_id", "user_action_mean", "item_action_mean")
+
+
 def q_base_features(spark, sf):
     return P.base_features(_behavior(spark, sf), keep=("row_id",))
 
