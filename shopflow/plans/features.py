@@ -45,10 +45,18 @@ def select_features(df: DataFrame, features=FEATURES) -> DataFrame:
     return df.select(*[c for c in features if c in df.columns])
 
 
+def base_statistics(df: DataFrame, mode: str = "coerce") -> dict[str, DataFrame]:
+    """The user and item statistic tables of a log (what a bundle freezes for serving)."""
+    filled = fill_missing_typed(prepare_time(df, mode))
+    return {"user": user_stats(filled), "item": item_stats(filled)}
+
+
 def base_features(df: DataFrame, mode: str = "coerce", keep: tuple[str, ...] = (),
-                  dictionary: DataFrame | None = None, leave_one_out: bool = False) -> DataFrame:
+                  dictionary: DataFrame | None = None, leave_one_out: bool = False,
+                  statistics: dict[str, DataFrame] | None = None) -> DataFrame:
     """22-feature matrix (plus ``keep`` columns, e.g. ids and target).
 
+    ``statistics`` (from ``base_statistics``) replaces the per-file user / item statistics.
     Without ``dictionary`` the categories are encoded by a dictionary fitted on ``df``
     itself (the reference's per-file behaviour); with one (e.g. fitted on the training
     split) every split shares its codes and unseen values get -1.
@@ -57,7 +65,11 @@ def base_features(df: DataFrame, mode: str = "coerce", keep: tuple[str, ...] = (
     # Statistics are taken on the filled values before encoding: codes are a bijection
     # of the values, so counts and nunique agree, and these branches scan only the few
     # columns they need instead of repeating the dictionary joins.
-    u, i = user_stats(filled), item_stats(filled)
+    if statistics is not None:
+        # frozen (e.g. training-time) statistics: serving a few records cannot recompute them
+        u, i = statistics["user"], statistics["item"]
+    else:
+        u, i = user_stats(filled), item_stats(filled)
     if dictionary is None:
         out = label_encode(filled, CATEGORICALS)
     else:

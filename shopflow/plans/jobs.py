@@ -21,7 +21,7 @@ from ..operators.split import split_report, stratified_split
 from ..schema import CATEGORICALS, FEATURES, NUM_CLASSES
 from ..sources import io
 from . import train as T
-from .features import base_features, prepare_time
+from .features import base_features, base_statistics, prepare_time
 
 SPLITS = ("train", "test", "val")
 
@@ -41,33 +41,36 @@ def split_job(spark: SparkSession, input_path: str, output_dir: str, fmt: str =
 def _split_features(spark: SparkSession, data_dir: str, frozen: bool, keep: tuple[str, ...]):
     parts = {n: io.read_split(spark, data_dir, n).withColumn("label", multiclass_label()) for n in SPLITS}
     dictionary = fit_sorted_dictionary(parts["train"], CATEGORICALS) if frozen else None
-    return {n: base_features(df, keep=keep, dictionary=dictionary) for n, df in parts.items()}, dictionary
+    feats = {n: base_features(df, keep=keep, dictionary=dictionary) for n, df in parts.items()}
+    return feats, dictionary, base_statistics(parts["train"])
 
 
 def train_binary_job(spark: SparkSession, data_dir: str, model_dir: str, params: T.BoostParams = T.BINARY_PARAMS,
                      frozen: bool = True) -> DataFrame:
     """22 features per split, boosted trees with patience on validation AUC, bundle saved; test metrics."""
-    feats, dictionary = _split_features(spark, data_dir, frozen, ("row_id", "target"))
+    feats, dictionary, stats = _split_features(spark, data_dir, frozen, ("row_id", "target"))
     model = T.fit_binary(feats["train"], feats["val"], FEATURES, params, path=f"{model_dir}/work")
-    T.save_bundle(spark, model, f"{model_dir}/bundle", dictionary)
+    T.save_bundle(spark, model, f"{model_dir}/bundle", dictionary, stats)
     return evaluation_report(model.transform(feats["test"]))
 
 
 def train_multiclass_job(spark: SparkSession, data_dir: str, model_dir: str,
                          params: T.BoostParams = T.MULTICLASS_PARAMS, frozen: bool = True) -> DataFrame:
     """Class-weighted one-vs-rest boosted trees; validation and test report."""
-    feats, dictionary = _split_features(spark, data_dir, frozen, ("row_id", "label"))
+    feats, dictionary, stats = _split_features(spark, data_dir, frozen, ("row_id", "label"))
     model = T.fit_multiclass(row_weights(feats["train"]), feats["val"], FEATURES, params, num_classes=NUM_CLASSES,
                              path=f"{model_dir}/work")
-    T.save_bundle(spark, model, f"{model_dir}/bundle", dictionary)
+    T.save_bundle(spark, model, f"{model_dir}/bundle", dictionary, stats)
     held_out = [model.transform(feats[n]).withColumn("split", F.lit(n)) for n in ("val", "test")]
     return split_metrics(held_out[0].unionByName(held_out[1]))
 
 
-def _features_for(spark: SparkSession, bundle_dir: str, input_path: str, fmt: str, keep: tuple[str, ...]):
+def _features_for(spark: SparkSession, bundle_dir: str, input_path: str, fmt: str, keep: tuple[str, ...],
+                  training_statistics: bool = False):
     model, dictionary = T.load_bundle(spark, bundle_dir)
     log = io.load_behavior(spark, input_path, fmt) if fmt != "split" else io.read_splits(spark, input_path)
-    return model, base_features(log, keep=keep, dictionary=dictionary)
+    stats = T.load_statistics(spark, bundle_dir) if training_statistics else None
+    return model, base_features(log, keep=keep, dictionary=dictionary, statistics=stats)
 
 
 def evaluate_job(spark: SparkSession, bundle_dir: str, input_path: str, fmt: str = "csv",
@@ -79,10 +82,13 @@ def evaluate_job(spark: SparkSession, bundle_dir: str, input_path: str, fmt: str
 
 
 def predict_job(spark: SparkSession, bundle_dir: str, input_path: str, output_path: str, fmt: str = "csv",
-                threshold: float = 0.5, out_fmt: str = "csv") -> DataFrame:
-    """Score a log, write (user, item, time, prediction, probability); returns the score summary."""
+                threshold: float = 0.5, out_fmt: str = "csv", training_statistics: bool = False) -> DataFrame:
+    """Score a log, write (user, item, time, prediction, probability); returns the score summary.
+
+    ``training_statistics`` uses the bundle's frozen user / item statistics instead of the
+    scored file's own (the reference recomputes them per file)."""
     model, feats = _features_for(spark, bundle_dir, input_path, fmt,
-                                 ("user_log_acct", "item_sku_id", "action_time"))
+                                 ("user_log_acct", "item_sku_id", "action_time"), training_statistics)
     io.write_predictions(model.transform(feats, threshold), output_path, out_fmt)
     written = spark.read.parquet(output_path) if out_fmt == "parquet" else spark.read.options(
         **io.CSV_OPTIONS).schema("user_log_acct string, item_sku_id long, action_time timestamp_ntz, "

@@ -200,6 +200,15 @@ def q_feature_importance(spark, sf):
     return T.feature_importance(spark, best, FEATURES)
 
 
+def q_multiclass_feature_importance(spark, sf):
+    m = multiclass_model(spark, sf)
+    paths = []
+    for c in m.classes:
+        best = f"{m.path}/class_{c}/best"
+        paths.append(best if T.path_exists(spark, f"{best}/metadata") else f"{m.path}/class_{c}/full")
+    return T.feature_importance(spark, paths, FEATURES)
+
+
 def score_requests(spark: SparkSession, requests: DataFrame, sample: DataFrame, stats_sample: DataFrame,
                    multiclass_path: str, binary_path: str) -> DataFrame:
     """Request rows -> (action_type, name, class probabilities, confidence, two-valued flag).

@@ -364,8 +364,8 @@ def fit_ensemble(train: DataFrame, val: DataFrame | None, features: Sequence[str
 
 # ------------------------------------------------------------------ persistence
 def save_bundle(spark: SparkSession, model: BinaryModel | MultiClassModel, path: str,
-                dictionary: DataFrame | None = None) -> None:
-    """Models, feature list, best iteration and optional frozen dictionary under one folder."""
+                dictionary: DataFrame | None = None, statistics: dict[str, DataFrame] | None = None) -> None:
+    """Models, feature list, best iteration and optional frozen dictionary / statistics under one folder."""
     kind = "binary" if isinstance(model, BinaryModel) else "multiclass"
     meta = {"kind": kind, "features": model.features, "best_iteration": model.best_iteration}
     if kind == "binary":
@@ -378,6 +378,15 @@ def save_bundle(spark: SparkSession, model: BinaryModel | MultiClassModel, path:
         f"{path}/meta")
     if dictionary is not None:
         dictionary.write.mode("overwrite").parquet(f"{path}/dictionary")
+    for name, table in (statistics or {}).items():
+        table.write.mode("overwrite").parquet(f"{path}/statistics/{name}")
+
+
+def load_statistics(spark: SparkSession, path: str) -> dict[str, DataFrame] | None:
+    """The frozen statistics of a bundle, or None when it has none."""
+    if not path_exists(spark, f"{path}/statistics/user"):
+        return None
+    return {n: spark.read.parquet(f"{path}/statistics/{n}") for n in ("user", "item")}
 
 
 def load_bundle(spark: SparkSession, path: str) -> tuple[BinaryModel | MultiClassModel, DataFrame | None]:
@@ -400,9 +409,14 @@ def load_scoring_model(spark: SparkSession, multiclass_path: str, binary_path: s
 
 
 # ------------------------------------------------------------------ feature importance
-def feature_importance(spark: SparkSession, model_path: str, features: Sequence[str], top_n: int = 20) -> DataFrame:
-    """Split counts per feature over all trees of a saved tree model (plus total gain), top ``top_n``."""
-    data = spark.read.parquet(f"{model_path}/data")
+def feature_importance(spark: SparkSession, model_path: str | Sequence[str], features: Sequence[str],
+                       top_n: int = 20) -> DataFrame:
+    """Split counts per feature over all trees of saved tree model(s) (plus total gain), top ``top_n``.
+
+    Several paths (e.g. the one-vs-rest members of a five-class model) are counted together.
+    """
+    paths = [model_path] if isinstance(model_path, str) else list(model_path)
+    data = spark.read.parquet(*[f"{p}/data" for p in paths])
     nodes = data.select(F.col("nodeData.split.featureIndex").alias("idx"), F.col("nodeData.gain").alias("gain"),
                         F.col("nodeData.leftChild").alias("left"))
     splits = nodes.where((F.col("idx") >= 0) & (F.col("left") >= 0))

@@ -26,3 +26,6 @@ def test_script_flow(spark):
     out = scratch_path(spark, "job-predictions")
     summary = jobs.predict_job(spark, f"{model}/bundle", log, out).first()
     assert summary.rows == total and 0 <= summary.positive_share <= 1
+    out2 = scratch_path(spark, "job-predictions-frozen")
+    frozen = jobs.predict_job(spark, f"{model}/bundle", log, out2, training_statistics=True).first()
+    assert frozen.rows == total
