@@ -25,18 +25,18 @@ from ..session import checkpoint_root
 BLK, SEQ = "_blk", "_seq"
 
 
-def _block_count(df: DataFrame, num_blocks: int | None) -> int:
-    if num_blocks:
-        return num_blocks
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def range_blocks(df: DataFrame, order_cols: Sequence[str], num_blocks: int | None = None) -> DataFrame:
-    """Range-partitioned, block-sorted copy of ``df`` tagged with ``_blk`` and ``_seq`` (checkpointed)."""
+    """Range-partitioned, block-sorted copy of ``df`` tagged with ``_blk`` and ``_seq`` (checkpointed).
+
+    Without ``num_blocks`` the range exchange is left to AQE, which merges small
+    neighbouring ranges (order is kept: merged blocks stay contiguous), so the block
+    count follows the data size; tags are taken after that, inside the checkpointed stage.
+    """
     checkpoint_root(df.sparkSession)
-    n = _block_count(df, num_blocks)
     pid = F.spark_partition_id()
-    tagged = (df.repartitionByRange(n, *order_cols)
+    parted = (df.repartitionByRange(num_blocks, *order_cols) if num_blocks
+              else df.repartitionByRange(*order_cols))
+    tagged = (parted
               .sortWithinPartitions(*order_cols)
               .withColumn(BLK, pid)
               .withColumn(SEQ, F.monotonically_increasing_id() - pid.cast("long") * F.lit(1 << 33)))
