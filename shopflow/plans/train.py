@@ -24,6 +24,7 @@ from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier, Lo
                                        RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,14 +97,14 @@ def positive_probability(col: str = "probability"):
 
 
 # ------------------------------------------------------------------ tree-prefix models
-def _fs(spark: SparkSession, path: str):
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
+    """Whether a saved leaf folder (e.g. a model's ``metadata``) exists: a file listing through
+    the text source, without partition inference; no job runs."""
+    try:
+        spark.read.option("recursiveFileLookup", "true").text(path)
+        return True
+    except AnalysisException:
+        return False
 
 
 def truncate_gbt(spark: SparkSession, model_path: str, n_trees: int, out_path: str) -> GBTClassificationModel:
