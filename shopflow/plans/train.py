@@ -14,7 +14,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -121,20 +121,51 @@ def truncate_gbt(spark: SparkSession, model_path: str, n_trees: int, out_path: s
     return GBTClassificationModel.load(out_path)
 
 
-def best_prefix(curve: Sequence[float], patience: int, higher_is_better: bool = False) -> int:
-    """Number of trees kept by patience-based early stopping on a validation curve.
-
-    Scans rounds in order, tracks the best value, stops once ``patience`` rounds pass
-    without improvement, and returns 1 + the best round.
-    """
+def _patience_scan(curve: Sequence[float], patience: int, higher_is_better: bool) -> tuple[int, int | None]:
+    """(index of the best round, index of the round where the patience rule stops or None)."""
     best_i, best_v = 0, None
     for i, v in enumerate(curve):
         better = best_v is None or (v > best_v if higher_is_better else v < best_v)
         if better:
             best_i, best_v = i, v
         elif i - best_i >= patience:
+            return best_i, i
+    return best_i, None
+
+
+def best_prefix(curve: Sequence[float], patience: int, higher_is_better: bool = False) -> int:
+    """Number of trees kept by patience-based early stopping on a validation curve.
+
+    Scans rounds in order, tracks the best value, stops once ``patience`` rounds pass
+    without improvement, and returns 1 + the best round.
+    """
+    return _patience_scan(curve, patience, higher_is_better)[0] + 1
+
+
+EVAL_CHUNK_ROUNDS = 100
+
+
+def patience_curve(score_rounds: Callable[[list[int]], list[float]], n_rounds: int, patience: int,
+                   eval_every: int = 1, higher_is_better: bool = False) -> tuple[list[float], int]:
+    """Validation curve scored in chunks of rounds until the patience rule stops.
+
+    ``score_rounds(rounds)`` returns the metric of each given round (one Spark job
+    over the validation rows per chunk).  A chunk holds at least one patience window
+    and ``EVAL_CHUNK_ROUNDS`` rounds, so rounds after the stop are scored at most one
+    chunk ahead and the staged rows per job stay bounded.  Returns the curve up to and
+    including the round where training would have stopped, and the trees kept.
+    """
+    rounds = list(range(eval_every, n_rounds + 1, eval_every))
+    p = max(1, patience // eval_every)
+    step = max(p, EVAL_CHUNK_ROUNDS // eval_every, 1)
+    curve: list[float] = []
+    for start in range(0, len(rounds), step):
+        curve += score_rounds(rounds[start:start + step])
+        best_i, stop = _patience_scan(curve, p, higher_is_better)
+        if stop is not None:
+            curve = curve[:stop + 1]
             break
-    return best_i + 1
+    return curve, (best_i + 1) * eval_every
 
 
 # ------------------------------------------------------------------ binary
@@ -145,6 +176,7 @@ class BinaryModel:
     best_iteration: int
     path: str
     curve: list[float] = field(default_factory=list)
+    fitted_rounds: int = 0
 
     def transform(self, df: DataFrame, threshold: float = 0.5) -> DataFrame:
         out = self.model.transform(assemble(df, self.features))
@@ -174,18 +206,19 @@ def fit_binary(train: DataFrame, val: DataFrame | None, features: Sequence[str],
     curve, best = [], n
     if val is not None:
         if stop_metric == "auc":
-            rounds = list(range(eval_every, n + 1, eval_every))
-            staged = staged_margins(val, {0: f"{path}/full"}, features, rounds, keep=[label_col])
-            curve = curve_from_metrics(binary_round_metrics(staged, label_col), "auc")
-            best = best_prefix(curve, max(1, params.patience // eval_every), higher_is_better=True) * eval_every
+            def score(rounds: list[int]) -> list[float]:
+                staged = staged_margins(val, {0: f"{path}/full"}, features, rounds, keep=[label_col])
+                return curve_from_metrics(binary_round_metrics(staged, label_col), "auc")
+
+            curve, best = patience_curve(score, n, params.patience, eval_every, higher_is_better=True)
         elif stop_metric == "logloss":
             va = assemble(val.withColumn(label_col, F.col(label_col).cast("double")), features)
-            curve = [x / 2.0 for x in full.evaluateEachIteration(va)]  # MLlib log loss is twice the usual one
-            best = best_prefix(curve, params.patience)
+            losses = [x / 2.0 for x in full.evaluateEachIteration(va)]  # MLlib log loss is twice the usual one
+            curve, best = patience_curve(lambda rs: [losses[r - 1] for r in rs], n, params.patience)
         else:
             raise ValueError(f"unknown stop metric {stop_metric!r}")
     model = truncate_gbt(spark, f"{path}/full", best, f"{path}/best") if best < n else full
-    return BinaryModel(model, list(features), best, path, curve)
+    return BinaryModel(model, list(features), best, path, curve, fitted_rounds=n)
 
 
 # ------------------------------------------------------------------ five classes
@@ -260,12 +293,14 @@ def fit_multiclass(train: DataFrame, val: DataFrame | None, features: Sequence[s
     if val is not None:
         from .staged import curve_from_metrics, multiclass_round_metrics, staged_margins
 
-        rounds = list(range(eval_every, n + 1, eval_every))
         paths = {c: f"{path}/class_{c}/full" for c in members}
-        staged = staged_margins(val, paths, features, rounds, keep=[label_col])
-        curve = curve_from_metrics(multiclass_round_metrics(staged, num_classes, label_col), stop_metric)
-        higher = stop_metric == "macro_acc"
-        best = best_prefix(curve, max(1, params.patience // eval_every), higher_is_better=higher) * eval_every
+
+        def score(rounds: list[int]) -> list[float]:
+            staged = staged_margins(val, paths, features, rounds, keep=[label_col])
+            return curve_from_metrics(multiclass_round_metrics(staged, num_classes, label_col), stop_metric)
+
+        curve, best = patience_curve(score, n, params.patience, eval_every,
+                                     higher_is_better=stop_metric == "macro_acc")
     if best < min(m.getNumTrees for m in members.values()):
         members = {c: truncate_gbt(spark, f"{path}/class_{c}/full", best, f"{path}/class_{c}/best") for c in members}
     return MultiClassModel(members, list(features), best, path, curve)

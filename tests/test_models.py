@@ -16,6 +16,28 @@ def test_best_prefix_patience():
     assert T.best_prefix([0.5, 0.6, 0.55], patience=5, higher_is_better=True) == 2
 
 
+def test_patience_curve_scores_in_chunks_and_stops(monkeypatch):
+    full = [5 - 0.01 * i for i in range(40)] + [5.0] * 460  # best at round 40, stop at round 70 (patience 30)
+    asked: list[list[int]] = []
+
+    def score(rounds):
+        asked.append(list(rounds))
+        return [full[r - 1] for r in rounds]
+
+    for chunk in (1, 25, 100, 1000):
+        asked.clear()
+        monkeypatch.setattr(T, "EVAL_CHUNK_ROUNDS", chunk)
+        curve, best = T.patience_curve(score, len(full), patience=30)
+        assert best == T.best_prefix(full, 30) == 40
+        assert curve == full[:70]  # up to the round where training stops, whatever the chunk size
+        step = max(30, chunk)
+        assert all(len(a) <= step for a in asked) and max(max(a) for a in asked) < 70 + step
+    # every 5th round: patience counts scored rounds, trees kept is a multiple of 5
+    monkeypatch.setattr(T, "EVAL_CHUNK_ROUNDS", 100)
+    curve, best = T.patience_curve(score, len(full), patience=30, eval_every=5)
+    assert best == 40 and curve == [full[r - 1] for r in range(5, 71, 5)]
+
+
 @pytest.fixture(scope="module")
 def small(spark):
     f = learned.splits(spark, SF_SMALL)["features"]
