@@ -62,11 +62,17 @@ def _split(spark, sf):
     return stratified_split(_labeled(spark, sf), RATIOS, seed=SEED)
 
 
+_SPLIT_TABLES: dict[tuple, str] = {}
+
+
 def _split_table(spark, sf) -> str:
-    """The split written once as a table partitioned by ``split`` (the train/test/val hand-off)."""
-    path = scratch_path(spark, "split-table")
-    io.write_splits(_split(spark, sf), path)
-    return path
+    """The split written once per session as a table partitioned by ``split`` (the train/test/val hand-off)."""
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
+    if key not in _SPLIT_TABLES:
+        path = scratch_path(spark, "split-table")
+        io.write_splits(_split(spark, sf), path)
+        _SPLIT_TABLES[key] = path
+    return _SPLIT_TABLES[key]
 
 
 def _scored_pred(spark, sf):
