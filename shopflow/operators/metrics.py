@@ -49,11 +49,24 @@ def roc_auc(df: DataFrame, label: str = "target", score: str = "probability",
     g = list(group_cols)
     per_score = df.groupBy(*g, score).agg(F.count_if(F.col(label) == 1).alias("_pos"),
                                           F.count_if(F.col(label) != 1).alias("_neg"))
+    return roc_auc_from_counts(per_score, score, g)
+
+
+def roc_auc_from_counts(per_score: DataFrame, score: str, group_cols: Sequence[str] = (),
+                        extra: dict[str, Column] | None = None) -> DataFrame:
+    """AUC from one row per (group, distinct score) with ``_pos`` / ``_neg`` counts.
+
+    ``extra`` adds more per-group sums over the same count rows (e.g. a loss), so
+    callers need only one pass over the scored rows.
+    """
+    g = list(group_cols)
     cum = prefix_sums(per_score, [score], ["_neg"], group_cols=g, prefix="_below")
     wins = F.col("_pos").cast("double") * (F.col("_below_neg").cast("double") + F.col("_neg").cast("double") / 2)
-    agg = cum.groupBy(*g).agg(F.sum(wins).alias("_w"), F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"))
+    extra = extra or {}
+    agg = cum.groupBy(*g).agg(F.sum(wins).alias("_w"), F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"),
+                              *[F.sum(e).alias(f"_x_{k}") for k, e in extra.items()])
     return agg.select(*g, F.try_divide(F.col("_w"), F.col("_p").cast("double") * F.col("_n").cast("double"))
-                      .alias("auc"))
+                      .alias("auc"), *[F.col(f"_x_{k}").alias(k) for k in extra])
 
 
 def metrics_long(metrics: DataFrame, id_cols: Sequence[str] = ()) -> DataFrame:

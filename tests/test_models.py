@@ -84,6 +84,46 @@ def test_binary_truncation_and_roundtrip(spark, small):
     assert a.join(b, "row_id").where(F.col("a") != F.col("b")).count() == 0
 
 
+def test_round_metrics_equal_brute_force(spark, small):
+    import numpy as np
+
+    from shopflow.plans.staged import binary_round_metrics, multiclass_round_metrics, staged_margins
+
+    f, params = small
+    m = T.fit_binary(f["train"], f["val"], FEATURES, params, stop_metric="logloss")
+    rounds = list(range(1, 9))
+    staged = staged_margins(f["val"], {0: f"{m.path}/full"}, FEATURES, rounds, ["target"])
+    got = binary_round_metrics(staged, "target").toPandas().set_index("round").sort_index()
+    # log loss per round: MLlib's own (twice the usual) loss
+    va = T.assemble(f["val"].withColumn("target", F.col("target").cast("double")), FEATURES)
+    mllib = [x / 2 for x in GBT_FULL(m).evaluateEachIteration(va)]
+    assert np.allclose(got["logloss"].to_numpy(), mllib, atol=1e-9)
+    # AUC per round: all (positive, negative) pairs, ties count one half
+    pdf = staged.toPandas()
+    for r in rounds:
+        d = pdf[pdf["round"] == r]
+        s = d["margins"].map(lambda a: a[0]).to_numpy()
+        y = d["target"].to_numpy()
+        pos, neg = s[y == 1][:, None], s[y != 1][None, :]
+        want = ((pos > neg).sum() + 0.5 * (pos == neg).sum()) / (pos.size * neg.size)
+        assert abs(got.loc[r, "auc"] - want) < 1e-12
+    # five classes: same margins for every member gives even probabilities; check both metrics in pandas
+    staged5 = staged_margins(f["val"], {c: f"{m.path}/full" for c in range(5)}, FEATURES, rounds, ["label"])
+    got5 = multiclass_round_metrics(staged5, 5, "label").toPandas().set_index("round").sort_index()
+    p5 = staged5.toPandas()
+    for r in rounds:
+        d = p5[p5["round"] == r]
+        mg = np.stack(d["margins"].to_numpy())
+        pr = 1 / (1 + np.exp(-2 * mg))
+        pr = pr / pr.sum(axis=1, keepdims=True)
+        lab = d["label"].to_numpy()
+        pred = pr.argmax(axis=1)
+        recalls = [(pred[lab == c] == c).mean() for c in range(5) if (lab == c).any()]
+        assert abs(got5.loc[r, "macro_acc"] - sum(recalls) / 5) < 1e-12
+        ll = -np.log(np.maximum(pr[np.arange(len(lab)), lab], 1e-15)).mean()
+        assert abs(got5.loc[r, "multi_logloss"] - ll) < 1e-9
+
+
 def test_multiclass_probabilities_sum_to_one(spark, small):
     from shopflow.operators.profile import row_weights
 
