@@ -126,13 +126,15 @@ def q_early_stopping(spark, sf):
 def q_learning_curve(spark, sf):
     m = binary_model(spark, sf)
     f = splits(spark, sf)["features"]
-    return T.learning_curve(m.path, spark, {"train": f["train"], "valid": f["val"]}, FEATURES)
+    return T.learning_curve(m.path, spark, {"train": f["train"], "valid": f["val"]}, FEATURES,
+                            last_round=m.stop_round)
 
 
 def q_multiclass_learning_curve(spark, sf):
     m = multiclass_model(spark, sf)
     f = splits(spark, sf)["features"]
-    return T.multiclass_learning_curve(m, {"train": f["train"], "valid": f["val"]}, NUM_CLASSES)
+    return T.multiclass_learning_curve(m, {"train": f["train"], "valid": f["val"]}, NUM_CLASSES,
+                                       last_round=m.stop_round)
 
 
 def q_train_multiclass(spark, sf):

@@ -177,6 +177,7 @@ class BinaryModel:
     path: str
     curve: list[float] = field(default_factory=list)
     fitted_rounds: int = 0
+    stop_round: int = 0   # last round scored by the patience rule (all fitted rounds without validation)
 
     def transform(self, df: DataFrame, threshold: float = 0.5) -> DataFrame:
         out = self.model.transform(assemble(df, self.features))
@@ -218,7 +219,8 @@ def fit_binary(train: DataFrame, val: DataFrame | None, features: Sequence[str],
         else:
             raise ValueError(f"unknown stop metric {stop_metric!r}")
     model = truncate_gbt(spark, f"{path}/full", best, f"{path}/best") if best < n else full
-    return BinaryModel(model, list(features), best, path, curve, fitted_rounds=n)
+    stop = n if val is None else len(curve) * (eval_every if stop_metric == "auc" else 1)
+    return BinaryModel(model, list(features), best, path, curve, fitted_rounds=n, stop_round=stop)
 
 
 # ------------------------------------------------------------------ five classes
@@ -229,6 +231,7 @@ class MultiClassModel:
     best_iteration: int
     path: str
     curve: list[float] = field(default_factory=list)
+    stop_round: int = 0   # last round scored by the patience rule (all fitted rounds without validation)
 
     @property
     def classes(self) -> list[int]:
@@ -289,7 +292,7 @@ def fit_multiclass(train: DataFrame, val: DataFrame | None, features: Sequence[s
         m.write().overwrite().save(f"{path}/class_{c}/full")
         members[c] = m
     n = min(m.getNumTrees for m in members.values())
-    curve, best = [], n
+    curve, best, stop = [], n, n
     if val is not None:
         from .staged import curve_from_metrics, multiclass_round_metrics, staged_margins
 
@@ -301,19 +304,25 @@ def fit_multiclass(train: DataFrame, val: DataFrame | None, features: Sequence[s
 
         curve, best = patience_curve(score, n, params.patience, eval_every,
                                      higher_is_better=stop_metric == "macro_acc")
+        stop = len(curve) * eval_every
     if best < min(m.getNumTrees for m in members.values()):
         members = {c: truncate_gbt(spark, f"{path}/class_{c}/full", best, f"{path}/class_{c}/best") for c in members}
-    return MultiClassModel(members, list(features), best, path, curve)
+    return MultiClassModel(members, list(features), best, path, curve, stop_round=stop)
 
 
 # ------------------------------------------------------------------ learning curves
 def learning_curve(model_path: str, spark: SparkSession, sets: dict[str, DataFrame], features: Sequence[str],
-                   label_col: str = "target", every: int = 1) -> DataFrame:
-    """Binary model: (iteration, split, metric, value) with log loss and exact AUC per round."""
+                   label_col: str = "target", every: int = 1, last_round: int | None = None) -> DataFrame:
+    """Binary model: (iteration, split, metric, value) with log loss and exact AUC per round.
+
+    ``last_round`` (e.g. the model's ``stop_round``) ends the curve where training with
+    early stopping would have ended; by default every fitted round is scored.
+    """
     from .staged import binary_round_metrics, staged_margins
 
     full = GBTClassificationModel.load(f"{model_path}/full")
-    rounds = list(range(every, full.getNumTrees + 1, every))
+    n = min(full.getNumTrees, last_round or full.getNumTrees)
+    rounds = list(range(every, n + 1, every))
     out = None
     for name, df in sets.items():
         m = binary_round_metrics(staged_margins(df, {0: f"{model_path}/full"}, features, rounds, [label_col]),
@@ -326,12 +335,16 @@ def learning_curve(model_path: str, spark: SparkSession, sets: dict[str, DataFra
 
 
 def multiclass_learning_curve(model: "MultiClassModel", sets: dict[str, DataFrame], num_classes: int = 5,
-                              label_col: str = "label", every: int = 1) -> DataFrame:
-    """Five-class model: (iteration, split, metric, value) with macro accuracy and multi-class log loss."""
+                              label_col: str = "label", every: int = 1, last_round: int | None = None) -> DataFrame:
+    """Five-class model: (iteration, split, metric, value) with macro accuracy and multi-class log loss.
+
+    ``last_round`` ends the curve early (e.g. at ``model.stop_round``); by default every fitted round.
+    """
     from .staged import multiclass_round_metrics, staged_margins
 
     paths = {c: f"{model.path}/class_{c}/full" for c in model.members}
     n = min(GBTClassificationModel.load(p).getNumTrees for p in paths.values())  # all fitted rounds
+    n = min(n, last_round or n)
     rounds = list(range(every, n + 1, every))
     out = None
     for name, df in sets.items():

@@ -124,6 +124,18 @@ def test_round_metrics_equal_brute_force(spark, small):
         assert abs(got5.loc[r, "multi_logloss"] - ll) < 1e-9
 
 
+def test_learning_curve_ends_at_stop_round(spark, small):
+    from dataclasses import replace
+
+    f, params = small
+    m = T.fit_binary(f["train"], f["val"], FEATURES, replace(params, patience=2))
+    assert m.fitted_rounds == 8 and m.stop_round == len(m.curve) and m.best_iteration <= m.stop_round <= 8
+    lc = T.learning_curve(m.path, spark, {"valid": f["val"]}, FEATURES, last_round=m.stop_round).toPandas()
+    assert sorted(set(lc["iteration"])) == list(range(1, m.stop_round + 1))
+    auc = lc[lc["metric"] == "auc"].sort_values("iteration")["value"].to_numpy()
+    assert abs(auc - m.curve).max() < 1e-12  # the curve the patience rule saw
+
+
 def test_multiclass_probabilities_sum_to_one(spark, small):
     from shopflow.operators.profile import row_weights
 
