@@ -159,6 +159,7 @@ def patience_curve(score_rounds: Callable[[list[int]], list[float]], n_rounds: i
     p = max(1, patience // eval_every)
     step = max(p, EVAL_CHUNK_ROUNDS // eval_every, 1)
     curve: list[float] = []
+    best_i = 0
     for start in range(0, len(rounds), step):
         curve += score_rounds(rounds[start:start + step])
         best_i, stop = _patience_scan(curve, p, higher_is_better)
