@@ -29,3 +29,14 @@ def test_script_flow(spark):
     out2 = scratch_path(spark, "job-predictions-frozen")
     frozen = jobs.predict_job(spark, f"{model}/bundle", log, out2, training_statistics=True).first()
     assert frozen.rows == total
+
+
+def test_split_table_written_once_per_session(spark):
+    from shopflow import registry
+
+    path = registry._split_table(spark, SF_SMALL)
+    assert registry._split_table(spark, SF_SMALL + "/") == path  # same session and source: same table
+    stored = io.read_splits(spark, path).select("row_id", "split")
+    fresh = registry._split(spark, SF_SMALL).select("row_id", "split")
+    assert stored.count() == fresh.count() and stored.exceptAll(fresh).count() == 0
+    assert {r.split for r in io.read_split(spark, path, "val").select("split").distinct().collect()} == {"val"}
