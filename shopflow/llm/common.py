@@ -2,11 +2,32 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the session's Python workers this package (once), so that functions sent to them can import it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    _shipped.add(sc.applicationId)
+
+
 WHITE = r"[\x20\x09-\x0D]+"
 
 

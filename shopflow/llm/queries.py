@@ -10,7 +10,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from . import exact_dedup as _exact
+from . import shards as _shards
+from . import token_files as _files
+from .common import documents
+from .tokens import vocabulary_path
 
 
 def _path(sf_dir: str, name: str) -> str:
@@ -30,9 +35,23 @@ FROM t WINDOW w AS (PARTITION BY norm)
 """
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    _files.write_token_files(documents(spark, sf_dir), path, vocabulary_path("byte_bpe_50k.json"), end_id=0)
+    return _files.read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _shards.shard_rows(documents(spark, sf_dir), shards=8)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                       F.lit(None).cast("int").alias("grown_shard"), "row_number")
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op5_exact_dedup": op5_exact_dedup,
+        "op6_token_files": op6_token_files,
+        "op7_sharding": op7_sharding,
     }
 
 
