@@ -29,6 +29,8 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # small stores would otherwise reserve megabytes of disk each for logs they never fill
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
