@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import exact_dedup as _exact
+from . import packing as _packing
 from . import shards as _shards
+from . import simhash as _simhash
+from . import token_counts as _counts
 from . import token_files as _files
 from .common import documents
 from .tokens import vocabulary_path
@@ -47,11 +50,27 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.lit(None).cast("int").alias("grown_shard"), "row_number")
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _simhash.near_duplicates(documents(spark, sf_dir), shingle=4, max_bits=4)
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _packing.pack(documents(spark, sf_dir), vocabulary_path("byte_bpe_50k.json"), end_id=1, capacity=2048)
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _counts.section_token_counts(documents(spark, sf_dir), vocabulary_path("byte_bpe_50k.json"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op5_exact_dedup": op5_exact_dedup,
         "op6_token_files": op6_token_files,
         "op7_sharding": op7_sharding,
+        "op8_simhash": op8_simhash,
+        "op9_packing": op9_packing,
+        "op10_token_counts": op10_token_counts,
     }
 
 
