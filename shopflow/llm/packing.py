@@ -56,6 +56,12 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = 20
             .mapInArrow(cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"))
 
 
+def cut_table(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = 2048) -> DataFrame:
+    """``pieces`` written once, each with a number of its own (``piece_id``)."""
+    return written(pieces(docs, tokenizer_path, end_id, capacity).withColumn(
+        "piece_id", F.monotonically_increasing_id()), "pack-pieces")
+
+
 def _layout(patterns: list[tuple[np.ndarray, int]]) -> dict[str, np.ndarray]:
     """For each (bin, pattern): the bin's first rank there, copies per sequence, first sequence and place."""
     rows, first_sequence, given = [], 0, {}
@@ -75,16 +81,15 @@ def _layout(patterns: list[tuple[np.ndarray, int]]) -> dict[str, np.ndarray]:
 
 def assign(cut: DataFrame, capacity: int = 2048) -> DataFrame:
     """``sequence_id`` and ``offset`` of every row of a written table of pieces (ids are not read)."""
-    narrow = cut.select("doc_id", "start", "length", "ids_crc32", "doc_tokens",
-                        F.ceil(F.col("length") / F.lit(UNIT)).cast("int").alias("bin"),
-                        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    kept = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "piece_id"]
+    narrow = cut.select(*kept, F.ceil(F.col("length") / F.lit(UNIT)).cast("int").alias("bin"))
     histogram = narrow.groupBy("bin").agg(F.count(F.lit(1)).alias("n")).collect()  # capacity / UNIT rows at most
     demand = np.zeros(capacity // UNIT + 1, dtype=np.int64)
     for row in histogram:
         demand[row["bin"]] = row["n"]
     spark = cut.sparkSession
     shipped = spark.sparkContext.broadcast(_layout(integer_patterns(demand, capacity // UNIT)))
-    ranked = positions(narrow, ["doc_id", "start", "ids_crc32", "_file", "_row"], ["bin"], pos_col="_pos")
+    ranked = positions(narrow, ["doc_id", "start", "ids_crc32", "piece_id"], ["bin"], pos_col="_pos")
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shipped.value
@@ -101,24 +106,21 @@ def assign(cut: DataFrame, capacity: int = 2048) -> DataFrame:
                 [*keep, pa.array(table["sequence"][at] + turn), pa.array(table["place"][at] + copy)],
                 [*kept, "sequence_id", "_place"])
 
-    kept = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "_file", "_row"]
     dealt = ranked.mapInArrow(deal, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
-                                    "_file string, _row long, sequence_id long, _place long")
+                                    "piece_id long, sequence_id long, _place long")
     before = Window.partitionBy("sequence_id").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
     return dealt.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)))
 
 
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = 2048) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    cut = written(pieces(docs, tokenizer_path, end_id, capacity), "pack-pieces")
-    return assign(cut, capacity).drop("_file", "_row", "_place")
+    return assign(cut_table(docs, tokenizer_path, end_id, capacity), capacity).drop("piece_id", "_place")
 
 
 def sequences(cut: DataFrame, assigned: DataFrame) -> DataFrame:
     """sequence_id, n_ids and ids (pieces joined in order) from a written table of pieces and ``assign``
     on it.  A sequence holds ``capacity`` ids at most, so its group is bounded."""
-    at = cut.select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"), "ids")
-    parts = assigned.select("sequence_id", "offset", "length", "_file", "_row").join(at, ["_file", "_row"])
+    parts = assigned.select("sequence_id", "offset", "length", "piece_id").join(cut.select("piece_id", "ids"), "piece_id")
     return (parts.groupBy("sequence_id")
             .agg(F.sum("length").alias("n_ids"), F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("p"))
             .select("sequence_id", "n_ids", F.aggregate("p", F.lit(b""), lambda a, x: F.concat(a, x["ids"])).alias("ids")))
