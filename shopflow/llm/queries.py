@@ -11,13 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from . import bpe as _bpe
 from . import exact_dedup as _exact
+from . import near_vectors as _vectors
 from . import packing as _packing
+from . import quality as _quality
 from . import shards as _shards
 from . import simhash as _simhash
 from . import token_counts as _counts
 from . import token_files as _files
-from .common import documents
+from . import toxicity as _toxicity
+from .common import documents, fold, labels
 from .tokens import vocabulary_path
 
 
@@ -25,6 +29,47 @@ def _path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(_path(sf_dir, "embeddings"))
+    rows = _vectors.near_duplicate_vectors(vectors, cosine=0.9)
+    return rows.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
+OP1_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+          ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+c AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, least(vec_id, coalesce(c.b, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(c.b, vec_id)) AS kept
+FROM v LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.a = vec_id
+"""
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bpe.digests(_bpe.encode(documents(spark, sf_dir), vocabulary_path("word_bpe_49k.json")))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = _toxicity.fit(docs, labels(spark, sf_dir), fold_of=3, held_out=1)
+    scored = _toxicity.with_segments(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"),
+                         F.col("toxicity.score").alias("score"),
+                         (F.col("toxicity.score") >= 0.7).cast("int").alias("predicted"),
+                         F.size("toxicity.segments").alias("n_segments"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = _quality.fit(docs, labels(spark, sf_dir), fold_of=4, held_out=2)
+    scored = model.with_score(docs.select("doc_id", "text"))
+    return scored.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _exact.exact_dedup(spark, _path(sf_dir, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
@@ -65,6 +110,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_embedding_near_dedup": op1_embedding_near_dedup,
+        "op2_bpe": op2_bpe,
+        "op3_toxicity": op3_toxicity,
+        "op4_quality": op4_quality,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_token_files": op6_token_files,
         "op7_sharding": op7_sharding,
@@ -76,5 +125,6 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def statements() -> dict[str, str]:
     return {
+        "op1_embedding_near_dedup": OP1_SQL,
         "op5_exact_dedup": OP5_SQL,
     }

@@ -196,3 +196,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> Dat
     smallest = member.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = written(member.join(smallest, "root").select("fp", "component_id"), "fingerprint-classes")
     return table.join(classes, "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_first(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
+    """``docs`` with one row of each component: the one of smallest doc_id (nulls last); all columns kept.
+
+    Rows get a number of their own first, so repeated ids stay apart."""
+    table = written(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                                F.monotonically_increasing_id().alias("key")), "simhash-rows")
+    groups = near_duplicates(table.select(F.col("key").alias("doc_id"), F.col("row.text").alias("text")), shingle, max_bits)
+    ids = table.select("key", F.col("row.doc_id").alias("id"))
+    order = F.struct(F.col("id").isNull().alias("absent"), F.col("id").alias("id"), F.col("key").alias("key"))
+    first = (groups.select(F.col("doc_id").alias("key"), "component_id").join(ids, "key")
+             .groupBy("component_id").agg(F.min(order)["key"].alias("key")))
+    return table.join(first, "key", "left_semi").select("row.*")
