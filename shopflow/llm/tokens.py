@@ -18,7 +18,8 @@ import numpy as np
 
 # fixed value: the pre-token pattern of the byte-level vocabularies, in its backtracking-free form
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
-_UNSETTLED = re.compile("[^\x00-ɏ‐-‧]|\\s{4096}")
+_UNSETTLED = re.compile("[^\x00-\u024f\u2010-\u2027]")
+_WHITE_RUN = re.compile(r"\s{4096}")
 
 
 def vocabulary_path(name: str) -> str:
@@ -76,9 +77,20 @@ class ByteBpe:
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of the whole text (uint32), without special tokens added."""
-        if _UNSETTLED.search(text) or (self.special and self.special.search(text)):
-            return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-        return self.id_of_rank[self.fast.encode_to_numpy(text, disallowed_special=())]
+        if self._plain(text):
+            return self.id_of_rank[self.fast.encode_ordinary(text)]
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+
+    def _plain(self, text: str) -> bool:
+        if self.special and self.special.search(text):
+            return False
+        if len(text) > 4096 and _WHITE_RUN.search(text):
+            return False
+        try:
+            text.encode("latin-1")  # much faster than a search for the usual text
+        except UnicodeEncodeError:
+            return not _UNSETTLED.search(text)
+        return True
 
 
 def _merge_ranks(path: str, id_of: dict[bytes, int]) -> dict[bytes, int]:
