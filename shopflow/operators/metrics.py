@@ -31,11 +31,14 @@ def confusion_binary(df: DataFrame, label: str = "target", prediction: str = "pr
 
 def binary_metrics(df: DataFrame, label: str = "target", prediction: str = "prediction") -> DataFrame:
     """accuracy, precision, recall and F1 of the positive class."""
-    c = confusion_binary(df, label, prediction)
+    return _with_binary_metrics(confusion_binary(df, label, prediction)).drop("tn", "fp", "fn", "tp")
+
+
+def _with_binary_metrics(counts: DataFrame) -> DataFrame:
     tn, fp, fn, tp = (F.col(x) for x in ("tn", "fp", "fn", "tp"))
     precision, recall = _safe_div(tp, tp + fp), _safe_div(tp, tp + fn)
-    return c.select(_safe_div(tp + tn, tn + fp + fn + tp).alias("accuracy"), precision.alias("precision"),
-                    recall.alias("recall"), _f1(precision, recall).alias("f1"))
+    return counts.select(_safe_div(tp + tn, tn + fp + fn + tp).alias("accuracy"), precision.alias("precision"),
+                         recall.alias("recall"), _f1(precision, recall).alias("f1"), "tn", "fp", "fn", "tp")
 
 
 def roc_auc(df: DataFrame, label: str = "target", score: str = "probability",
@@ -79,25 +82,32 @@ def metrics_long(metrics: DataFrame, id_cols: Sequence[str] = ()) -> DataFrame:
 def evaluation_report(df: DataFrame, label: str = "target", prediction: str = "prediction",
                       score: str = "probability") -> DataFrame:
     """The binary evaluation set as (metric, value): accuracy, precision, recall, f1, auc, tn, fp, fn, tp."""
-    m = metrics_long(binary_metrics(df, label, prediction))
     auc = roc_auc(df, label, score).select(F.lit("auc").alias("metric"), F.col("auc").cast("double").alias("value"))
-    conf = metrics_long(confusion_binary(df, label, prediction))
-    return m.unionByName(auc).unionByName(conf)
+    rest = confusion_binary(df, label, prediction)
+    return metrics_long(_with_binary_metrics(rest)).unionByName(auc)
 
 
-def _class_counts(df: DataFrame, label: str, prediction: str, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Per class: support (true count), tp, predicted count -- over classes in labels or predictions.
+def pair_counts(df: DataFrame, label: str, prediction: str, group_cols: Sequence[str] = ()) -> DataFrame:
+    """(group, label, prediction, n): at most K x K rows a group, from which every metric below follows."""
+    return df.groupBy(*group_cols, F.col(label).alias("_y"), F.col(prediction).alias("_q")).agg(
+        F.count(F.lit(1)).alias("_n"))
+
+
+def _class_rows(pairs: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
+    """Per class in labels or predictions: support, tp, predicted count.
 
-    One union + one aggregate (no join), so the class set is exactly label ∪ prediction.
+    Each pair row is exploded to its two sides, so the counted rows are read once and not joined.
     """
-    g = [F.col(c) for c in group_cols]
-    y, p = F.col(label), F.col(prediction)
-    true_side = df.select(*g, y.alias("class"), F.lit(1).alias("_s"), (y == p).cast("int").alias("_tp"),
-                          F.lit(0).alias("_p"))
-    pred_side = df.select(*g, p.alias("class"), F.lit(0).alias("_s"), F.lit(0).alias("_tp"), F.lit(1).alias("_p"))
-    return true_side.unionByName(pred_side).groupBy(*group_cols, "class").agg(
-        F.sum("_s").cast("long").alias("support"), F.sum("_tp").cast("long").alias("tp"),
-        F.sum("_p").cast("long").alias("predicted"))
+    sides = F.array(
+        F.struct(F.col("_y").alias("class"), F.col("_n").alias("s"), F.lit(0).cast("long").alias("p")),
+        F.struct(F.col("_q").alias("class"), F.lit(0).cast("long").alias("s"), F.col("_n").alias("p")))
+    hit = F.when(F.col("_y") == F.col("_q"), F.col("_side.s")).otherwise(0)
+    return pairs.withColumn("_side", F.explode(sides)).groupBy(*group_cols, F.col("_side.class").alias("class")).agg(
+        F.sum("_side.s").alias("support"), F.sum(hit).alias("tp"), F.sum("_side.p").alias("predicted"))
+
+
+def _class_counts(df: DataFrame, label: str, prediction: str, group_cols: Sequence[str] = ()) -> DataFrame:
+    return _class_rows(pair_counts(df, label, prediction, group_cols), group_cols)
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction",
@@ -161,26 +171,44 @@ def macro_accuracy(df: DataFrame, num_classes: int, label: str = "label", predic
         F.avg(F.coalesce("_acc", F.lit(0.0))).alias("macro_acc"))
 
 
+def averaged_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction",
+                     group_cols: Sequence[str] = ()) -> DataFrame:
+    """Accuracy, macro and weighted precision / recall / F1 per group, in one pass over the rows."""
+    g = list(group_cols)
+    t = _class_counts(df, label, prediction, g)
+    precision, recall = _safe_div(F.col("tp"), F.col("predicted")), _safe_div(F.col("tp"), F.col("support"))
+    pc = t.withColumns({"precision": precision, "recall": recall}).withColumn(
+        "f1", _f1(F.col("precision"), F.col("recall")))
+    total = F.sum("support").cast("double")
+    kinds = ("precision", "recall", "f1")
+    return pc.groupBy(*g).agg(
+        F.try_divide(F.sum("tp").cast("double"), total).alias("accuracy"),
+        *[F.avg(k).alias(f"macro_{k}") for k in kinds],
+        *[_safe_div(F.sum(F.col(k) * F.col("support")), total).alias(f"weighted_{k}") for k in kinds])
+
+
 def split_metrics(df: DataFrame, split_col: str = "split", label: str = "label",
                   prediction: str = "prediction") -> DataFrame:
     """Accuracy, macro and weighted averages per split (validation vs test report)."""
-    g = [split_col]
-    acc = multiclass_accuracy(df, label, prediction, g)
-    mac = macro_metrics(df, label, prediction, g)
-    wtd = weighted_metrics(df, label, prediction, g)
-    return acc.join(mac, g).join(wtd, g)
+    return averaged_metrics(df, label, prediction, [split_col])
 
 
 def model_comparison(predictions: DataFrame, model_col: str = "model", label: str = "label",
                      prediction: str = "prediction") -> DataFrame:
     """One row per model: accuracy and weighted precision / recall / F1."""
-    g = [model_col]
-    return multiclass_accuracy(predictions, label, prediction, g).join(
-        weighted_metrics(predictions, label, prediction, g), g).select(
+    return averaged_metrics(predictions, label, prediction, [model_col]).select(
         model_col, "accuracy", F.col("weighted_precision").alias("precision"),
         F.col("weighted_recall").alias("recall"), F.col("weighted_f1").alias("f1"))
 
 
+def stacked_models(df: DataFrame, predictions: dict[str, Column], label: str = "label") -> DataFrame:
+    """(model, label, prediction): each row once per model, from one pass over ``df`` (no union of scans)."""
+    each = F.array(*[F.struct(F.lit(name).alias("model"), p.cast("int").alias("prediction"))
+                     for name, p in predictions.items()])
+    return df.select(F.col(label).alias("label"), F.explode(each).alias("_m")).select(
+        "_m.model", "label", "_m.prediction")
+
+
 def score_summary(df: DataFrame, prediction: str = "prediction") -> DataFrame:
     """Rows, predicted positives and their share."""
     return df.agg(F.count(F.lit(1)).alias("rows"), F.sum(prediction).cast("long").alias("positives"),

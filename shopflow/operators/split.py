@@ -13,14 +13,29 @@ is split again with ``test / (test + val)``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET_HEX_DIGITS = 5
 
 
-def split_key(row_id: Column, seed: int) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), row_id.cast("string")))
+def split_key(row_id: Column, seed: int, fallback: Column | None = None) -> Column:
+    """Key of a row; a NULL id takes ``fallback`` (a text made from the row itself) in its place."""
+    text = row_id.cast("string")
+    if fallback is not None:
+        text = F.coalesce(text, F.concat(F.lit("null:"), fallback))
+    return F.md5(F.concat(F.lit(f"{seed}:"), text))
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL keys match each other; the right side's key columns are dropped."""
+    named = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(named, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
 def _allocate(counts: DataFrame, stratum: str, n_col: str, total_draws: Column, out: str) -> DataFrame:
@@ -37,30 +52,35 @@ def _allocate(counts: DataFrame, stratum: str, n_col: str, total_draws: Column,
 def stratified_split(df: DataFrame, ratios: tuple[float, float, float] = (0.7, 0.15, 0.15),
                      stratum: str = "target", seed: int = 42, id_col: str = "row_id",
                      split_col: str = "split") -> DataFrame:
-    """Add ``split`` in {'train', 'test', 'val'} with exact per-stratum sizes."""
+    """Add ``split`` in {'train', 'test', 'val'} with exact per-stratum sizes.
+
+    Every input row is in the result: a NULL stratum is a stratum of its own, and rows with a NULL id
+    are keyed by the hash of their other columns.
+    """
     train, test, val = ratios
     if abs(train + test + val - 1.0) >= 1e-10:
         raise ValueError("train, test and val ratios must sum to 1")
-    key = split_key(F.col(id_col), seed)
+    others = [F.col(f"`{c}`") for c in df.columns if c != id_col]
+    key = split_key(F.col(id_col), seed, F.xxhash64(*others).cast("string") if others else F.lit(""))
     keyed = df.withColumns({
         "_key": key,
         "_bucket": F.conv(F.substring(key, 1, BUCKET_HEX_DIGITS), 16, 10).cast("long"),
     })
     # one row per (stratum, bucket): exclusive prefix of earlier buckets in the stratum
     buckets = keyed.groupBy(stratum, "_bucket").agg(F.count(F.lit(1)).alias("_bn"))
+    # per-stratum sizes for both stages, from the bucket counts (no further pass over the rows)
+    strata = buckets.groupBy(stratum).agg(F.sum("_bn").alias("_n"))
     wb = Window.partitionBy(stratum).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     buckets = buckets.withColumn("_before", F.coalesce(F.sum("_bn").over(wb), F.lit(0))).drop("_bn")
-    # per-stratum sizes for both stages
-    strata = keyed.groupBy(stratum).agg(F.count(F.lit(1)).alias("_n"))
     total = F.sum("_n").over(Window.partitionBy())
     strata = _allocate(strata, stratum, "_n", F.floor(F.lit(train) * total), "_n_train")
     strata = strata.withColumn("_n_rest", F.col("_n") - F.col("_n_train"))
     rest_total = F.sum("_n_rest").over(Window.partitionBy())
     strata = _allocate(strata, stratum, "_n_rest", F.floor(F.lit(test / (test + val)) * rest_total), "_n_test")
-    ranked = keyed.join(buckets, [stratum, "_bucket"])
+    ranked = null_safe_join(keyed, buckets, [stratum, "_bucket"])
     rn = F.row_number().over(Window.partitionBy(stratum, "_bucket").orderBy("_key", id_col))
     ranked = ranked.withColumn("_rank", F.col("_before") + rn)
-    ranked = ranked.join(F.broadcast(strata.select(stratum, "_n_train", "_n_test")), stratum)
+    ranked = null_safe_join(ranked, F.broadcast(strata.select(stratum, "_n_train", "_n_test")), [stratum])
     label = (F.when(F.col("_rank") <= F.col("_n_train"), F.lit("train"))
              .when(F.col("_rank") <= F.col("_n_train") + F.col("_n_test"), F.lit("test"))
              .otherwise(F.lit("val")))

@@ -14,6 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+HASHED_KEY = "_hashed_key"
+
+
 def _std(c: str) -> Column:
     return F.stddev_samp(c)
 
@@ -114,8 +117,15 @@ def rich_shop_stats(df: DataFrame) -> DataFrame:
 
 
 def attach(df: DataFrame, stats: DataFrame, key: str) -> DataFrame:
-    """Left equi-join of a per-key statistics table (AQE picks broadcast or sort-merge + skew split)."""
-    return df.join(stats, key, "left")
+    """Left equi-join of a per-key statistics table, safe against hot keys.
+
+    A statistics table is the output of an aggregate on ``key`` and already partitioned by it, so
+    a join on ``key`` alone would put the aggregate right under the join, where AQE cannot split
+    a skewed partition of the event side.  Joining on (key, hash of key) makes Spark exchange the
+    (small) statistics once more: both sides are then plain shuffles, and AQE splits hot keys.
+    """
+    hashed = stats.withColumn(HASHED_KEY, F.xxhash64(key))
+    return df.withColumn(HASHED_KEY, F.xxhash64(key)).join(hashed, [key, HASHED_KEY], "left").drop(HASHED_KEY)
 
 
 def attach_base_stats(df: DataFrame) -> DataFrame:

@@ -339,10 +339,20 @@ def statements() -> dict[str, str]:
     q: dict[str, str] = {}
     B = BASE
     q["load_behavior"] = B + "select * from behavior"
+    messy_time = r"try_strptime(regexp_replace(t.action_time, '\.0$', ''), '%Y-%m-%d %H:%M:%S')"
+    q["load_behavior_messy"] = with_(K_CTE, BEHAVIOR_CTE, behavior_text_cte()) + f"""select t.* replace (
+  {messy_time} as action_time, cast(null as bigint) as vender_id) from behavior_text t"""
+    q["file_order_ids"] = B + "select row_number() over () - 1 as row_id from behavior"
     q["head_n"] = B + "select * from behavior order by row_id limit 500"
     split_from_labeled = with_(K_CTE, BEHAVIOR_CTE, TIMED_CTE, LABELED_CTE, split_ctes("labeled"))
     q["split_roundtrip"] = split_from_labeled + "select row_id, target, split from split"
     q["stratified_split"] = q["split_roundtrip"]
+    q["split_null_keys"] = with_(K_CTE, BEHAVIOR_CTE) + f"""select coalesce(cast(t as varchar), 'none') as name,
+  count(*) as rows from (select case when row_id % 7 <> 3 then case when action_type = 2 then 1 else 0 end end as t from behavior)
+group by 1 union all
+select unnest(['train', 'test', 'val']), unnest([n_train, n_test, n - n_train - n_test]) from (
+  select *, cast(floor(cast({TEST_SHARE!r} as double) * cast(n - n_train as double)) as bigint) as n_test from (
+    select count(*) as n, cast(floor(cast({RATIOS[0]!r} as double) * count(*)) as bigint) as n_train from behavior))"""
     q["split_report"] = split_from_labeled + \
         "select split, count(*) as rows, round(avg(target), 6) as positive_ratio from split group by split"
     q["prediction_output"] = with_(K_CTE, BEHAVIOR_CTE, scored_cte()) + """select b.user_log_acct, b.item_sku_id,

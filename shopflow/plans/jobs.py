@@ -28,67 +28,72 @@ SPLITS = ("train", "test", "val")
 
 def split_job(spark: SparkSession, input_path: str, output_dir: str, fmt: str = "csv",
               ratios: tuple[float, float, float] = (0.7, 0.15, 0.15), seed: int = 42,
-              sample_size: int | None = None, out_fmt: str = "parquet") -> DataFrame:
-    """Load, clean (lenient time parse, typed fill), label purchase, split exactly, write; returns the report."""
-    log = io.load_behavior(spark, input_path, fmt)
+              sample_size: int | None = None, out_fmt: str = "parquet", mode: str = "coerce") -> DataFrame:
+    """Load, clean (time parse by ``mode``, lenient by default; typed fill), label purchase, split exactly,
+    write; returns the report."""
+    log = io.load_behavior(spark, input_path, fmt, time_text=fmt == "csv")
     if sample_size:
         log = io.head_n(log, sample_size)
-    labeled = fill_missing_typed(prepare_time(log, mode="coerce")).withColumn("target", binary_target())
+    labeled = fill_missing_typed(prepare_time(log, mode=mode)).withColumn("target", binary_target())
     io.write_splits(stratified_split(labeled, ratios, seed=seed), output_dir, out_fmt)
     return split_report(io.read_splits(spark, output_dir, out_fmt))
 
 
-def _split_features(spark: SparkSession, data_dir: str, frozen: bool, keep: tuple[str, ...]):
-    parts = {n: io.read_split(spark, data_dir, n).withColumn("label", multiclass_label()) for n in SPLITS}
+def _split_features(spark: SparkSession, data_dir: str, frozen: bool, keep: tuple[str, ...], fmt: str, mode: str):
+    parts = {n: io.read_split(spark, data_dir, n, fmt=fmt).withColumn("label", multiclass_label()) for n in SPLITS}
     dictionary = fit_sorted_dictionary(parts["train"], CATEGORICALS) if frozen else None
-    feats = {n: base_features(df, keep=keep, dictionary=dictionary) for n, df in parts.items()}
-    return feats, dictionary, base_statistics(parts["train"])
+    feats = {n: base_features(df, mode=mode, keep=keep, dictionary=dictionary) for n, df in parts.items()}
+    return feats, dictionary, base_statistics(parts["train"], mode)
 
 
 def train_binary_job(spark: SparkSession, data_dir: str, model_dir: str, params: T.BoostParams = T.BINARY_PARAMS,
-                     frozen: bool = True) -> DataFrame:
+                     frozen: bool = True, fmt: str = "parquet", mode: str = "coerce") -> DataFrame:
     """22 features per split, boosted trees with patience on validation AUC, bundle saved; test metrics."""
-    feats, dictionary, stats = _split_features(spark, data_dir, frozen, ("row_id", "target"))
+    feats, dictionary, stats = _split_features(spark, data_dir, frozen, ("row_id", "target"), fmt, mode)
     model = T.fit_binary(feats["train"], feats["val"], FEATURES, params, path=f"{model_dir}/work")
     T.save_bundle(spark, model, f"{model_dir}/bundle", dictionary, stats)
     return evaluation_report(model.transform(feats["test"]))
 
 
 def train_multiclass_job(spark: SparkSession, data_dir: str, model_dir: str,
-                         params: T.BoostParams = T.MULTICLASS_PARAMS, frozen: bool = True) -> DataFrame:
-    """Class-weighted one-vs-rest boosted trees; validation and test report."""
-    feats, dictionary, stats = _split_features(spark, data_dir, frozen, ("row_id", "label"))
+                         params: T.BoostParams = T.MULTICLASS_PARAMS, frozen: bool = True, fmt: str = "parquet",
+                         mode: str = "raise", resume: bool = False) -> DataFrame:
+    """Class-weighted one-vs-rest boosted trees; validation and test report.  Times must parse (``mode``);
+    ``resume`` continues an interrupted run of the same data and parameters."""
+    feats, dictionary, stats = _split_features(spark, data_dir, frozen, ("row_id", "label"), fmt, mode)
     model = T.fit_multiclass(row_weights(feats["train"]), feats["val"], FEATURES, params, num_classes=NUM_CLASSES,
-                             path=f"{model_dir}/work")
+                             path=f"{model_dir}/work", resume=resume)
     T.save_bundle(spark, model, f"{model_dir}/bundle", dictionary, stats)
     held_out = [model.transform(feats[n]).withColumn("split", F.lit(n)) for n in ("val", "test")]
     return split_metrics(held_out[0].unionByName(held_out[1]))
 
 
 def _features_for(spark: SparkSession, bundle_dir: str, input_path: str, fmt: str, keep: tuple[str, ...],
-                  training_statistics: bool = False):
+                  training_statistics: bool = False, mode: str = "raise"):
     model, dictionary = T.load_bundle(spark, bundle_dir)
-    log = io.load_behavior(spark, input_path, fmt) if fmt != "split" else io.read_splits(spark, input_path)
+    log = (io.read_splits(spark, input_path) if fmt == "split"
+           else io.load_behavior(spark, input_path, fmt, time_text=fmt == "csv"))
     stats = T.load_statistics(spark, bundle_dir) if training_statistics else None
-    return model, base_features(log, keep=keep, dictionary=dictionary, statistics=stats)
+    return model, base_features(log, mode=mode, keep=keep, dictionary=dictionary, statistics=stats)
 
 
 def evaluate_job(spark: SparkSession, bundle_dir: str, input_path: str, fmt: str = "csv",
-                 threshold: float = 0.5) -> DataFrame:
-    """Binary bundle on a labelled log: (metric, value)."""
-    model, feats = _features_for(spark, bundle_dir, input_path, fmt, ("row_id", "action_type"))
+                 threshold: float = 0.5, mode: str = "raise") -> DataFrame:
+    """Binary bundle on a labelled log: (metric, value).  Unparsable times fail the job unless ``mode='coerce'``."""
+    model, feats = _features_for(spark, bundle_dir, input_path, fmt, ("row_id", "action_type"), mode=mode)
     feats = feats.withColumn("target", binary_target())
     return evaluation_report(model.transform(feats, threshold))
 
 
 def predict_job(spark: SparkSession, bundle_dir: str, input_path: str, output_path: str, fmt: str = "csv",
-                threshold: float = 0.5, out_fmt: str = "csv", training_statistics: bool = False) -> DataFrame:
+                threshold: float = 0.5, out_fmt: str = "csv", training_statistics: bool = False,
+                mode: str = "raise") -> DataFrame:
     """Score a log, write (user, item, time, prediction, probability); returns the score summary.
 
     ``training_statistics`` uses the bundle's frozen user / item statistics instead of the
     scored file's own (the reference recomputes them per file)."""
     model, feats = _features_for(spark, bundle_dir, input_path, fmt,
-                                 ("user_log_acct", "item_sku_id", "action_time"), training_statistics)
+                                 ("user_log_acct", "item_sku_id", "action_time"), training_statistics, mode)
     io.write_predictions(model.transform(feats, threshold), output_path, out_fmt)
     written = spark.read.parquet(output_path) if out_fmt == "parquet" else spark.read.options(
         **io.CSV_OPTIONS).schema("user_log_acct string, item_sku_id long, action_time timestamp_ntz, "

@@ -16,6 +16,7 @@ from ..functions import labels as L
 from ..functions.fill import fill_missing_typed
 from ..functions.request import request_defaults
 from ..operators.encode import fit_first_seen_dictionary, fit_sorted_dictionary
+from ..operators.metrics import model_comparison, stacked_models
 from ..operators.profile import row_weights
 from ..operators.split import stratified_split
 from ..schema import CATEGORICALS, FEATURES, NUM_CLASSES
@@ -153,14 +154,8 @@ def q_train_ensemble_members(spark, sf):
 
 def q_ensemble_comparison(spark, sf):
     """Validation accuracy and weighted precision / recall / F1 of each member and of the vote."""
-    from ..operators.metrics import model_comparison
-
     m = q_train_ensemble_members(spark, sf)
-    stacked = None
-    for name in ("boosted", "forest", "linear", "voting"):
-        part = m.select(F.lit(name).alias("model"), "label", F.col(name).alias("prediction"))
-        stacked = part if stacked is None else stacked.unionByName(part)
-    return model_comparison(stacked)
+    return model_comparison(stacked_models(m, {n: F.col(n) for n in ("boosted", "forest", "linear", "voting")}))
 
 
 def q_resume_training(spark, sf):

@@ -87,6 +87,24 @@ def q_load_behavior(spark, sf):
     return io.load_behavior(spark, path, fmt="csv")
 
 
+def q_load_behavior_messy(spark, sf):
+    """A CSV log with reordered, extra and missing columns, whole numbers written as floats and bad times."""
+    b = FX.behavior_text(spark, sf).drop("vender_id")
+    messy = b.select(*[F.col(c).cast("double").cast("string").alias(c) if c in ("sex", "user_level", "shop_id") else F.col(c)
+                       for c in reversed(b.columns)], F.lit("x").alias("note"))
+    path = scratch_path(spark, "behavior-messy")
+    io.write_table(messy, path, fmt="csv")
+    log = io.load_behavior(spark, path, fmt="csv", time_text=True)
+    return log.withColumn("action_time", parse_time_coerce(clean_time_text("action_time")))
+
+
+def q_file_order_ids(spark, sf):
+    """A log without ids, numbered in file order: the ids are 0..n-1, each once."""
+    path = scratch_path(spark, "behavior-no-id")
+    io.write_table(_behavior(spark, sf).drop("row_id").repartition(3), path, fmt="csv")
+    return io.load_behavior(spark, path, fmt="csv").select("row_id")
+
+
 def q_head_n(spark, sf):
     return io.head_n(_behavior(spark, sf), HEAD_N)
 
@@ -343,6 +361,17 @@ def q_stratified_split(spark, sf):
     return _split(spark, sf).select("row_id", "target", "split")
 
 
+def q_split_null_keys(spark, sf):
+    """Rows with NULL strata and NULL ids stay in the split: rows per stratum and per split."""
+    rid = F.col("row_id")
+    rows = _labeled(spark, sf).withColumns({
+        "target": F.when(rid % 7 != 3, F.col("target")), "row_id": F.when(rid % 10 != 0, rid)})
+    sp = stratified_split(rows, RATIOS, seed=SEED)
+    by_stratum = sp.groupBy(F.coalesce(F.col("target").cast("string"), F.lit("none")).alias("name")).agg(
+        F.count(F.lit(1)).alias("rows"))
+    return by_stratum.unionByName(sp.groupBy(F.col("split").alias("name")).agg(F.count(F.lit(1)).alias("rows")))
+
+
 def q_split_report(spark, sf):
     return split_report(_split(spark, sf))
 
@@ -386,7 +415,7 @@ def q_macro_accuracy(spark, sf):
 
 
 def _members(spark, sf):
-    """Three ensemble members' probability rows on the same records (no join needed)."""
+    """Three ensemble members' probability rows side by side, joined on the record id."""
     cols = ["row_id", "label"]
     base = FX.scored(spark, sf).select(*cols, L.prob_array("p0", "p1", "p2", "p3", "p4").alias("m0"))
     for r in (1, 2):
@@ -449,13 +478,8 @@ def q_multiclass_accuracy(spark, sf):
 def q_model_comparison(spark, sf):
     m = _members(spark, sf)
     mean, _ = soft_vote([F.col("m0"), F.col("m1"), F.col("m2")])
-    preds = [m.select(F.lit(name).alias("model"), "label", L.argmax(F.col(c)).alias("prediction"))
-             for name, c in (("m0", "m0"), ("m1", "m1"), ("m2", "m2"))]
-    preds.append(m.select(F.lit("voting").alias("model"), "label", L.argmax(mean).alias("prediction")))
-    stacked = preds[0]
-    for p in preds[1:]:
-        stacked = stacked.unionByName(p)
-    return metrics.model_comparison(stacked)
+    models = {name: L.argmax(F.col(name)) for name in ("m0", "m1", "m2")} | {"voting": L.argmax(mean)}
+    return metrics.model_comparison(metrics.stacked_models(m, models))
 
 
 def q_metrics_long(spark, sf):
@@ -478,10 +502,7 @@ T2_QUERIES: dict[str, Query] = {
 
 
 def all_queries() -> dict[str, Query]:
-    out = dict(T2_QUERIES)
-    try:
-        from .plans import learned
-        out.update(learned.LEARNED_QUERIES)
-    except ImportError:  # pragma: no cover
-        pass
+    from .plans import learned  # here, because learned imports this package's plans at load
+
+    out = T2_QUERIES | learned.LEARNED_QUERIES
     return {k: (lambda fn: (lambda spark, sf: round_doubles(fn(spark, sf))))(v) for k, v in out.items()}

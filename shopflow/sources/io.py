@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,32 +11,97 @@ from ..schema import BEHAVIOR_SCHEMA
 CSV_OPTIONS = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]"}
 
 
-def load_behavior(spark: SparkSession, path: str, fmt: str = "csv", schema=BEHAVIOR_SCHEMA,
-                  row_id: str = "auto") -> DataFrame:
-    """Read a behaviour log with a declared schema (no inference pass).
+def _parsed(name: str, dtype: T.DataType, strict: bool) -> Column:
+    """A CSV cell (text) as ``dtype``; blank is NULL.  Whole numbers may be written as floats (``1.0``).
+
+    Text that does not parse is NULL, or fails the job if ``strict``.
+    """
+    text = F.nullif(F.trim(F.col(f"`{name}`")), F.lit(""))
+    if isinstance(dtype, T.StringType):
+        return F.nullif(F.col(f"`{name}`"), F.lit(""))
+    if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
+        parsed = F.expr(f"try_cast(trim(`{name}`) AS timestamp_ntz)")
+    elif isinstance(dtype, T.IntegralType):
+        whole = F.expr(f"try_cast(trim(`{name}`) AS {dtype.simpleString()})")
+        number = F.expr(f"try_cast(trim(`{name}`) AS double)")
+        from_float = F.when(number == F.floor(number), F.expr(f"try_cast(try_cast(trim(`{name}`) AS double) AS {dtype.simpleString()})"))
+        parsed = F.coalesce(F.when(text.rlike(r"^[-+]?\d+$"), whole), from_float)
+    else:
+        parsed = F.expr(f"try_cast(trim(`{name}`) AS {dtype.simpleString()})")
+    if strict:
+        bad = F.concat(F.lit(f"column {name}: cannot read "), text, F.lit(f" as {dtype.simpleString()}"))
+        parsed = F.when(text.isNotNull() & parsed.isNull(), F.raise_error(bad).cast(dtype)).otherwise(parsed)
+    return F.when(text.isNotNull(), parsed).cast(dtype)
+
+
+def _file_order_id(df: DataFrame) -> DataFrame:
+    """Add ``row_id``: 0, 1, ... in (file path, place in the file) order.
+
+    A scan's rows are numbered per split of a file (``file_block_start``); a table with one row per
+    split gives each split's first number.  So ids do not depend on how Spark packs files into
+    tasks, and rows are neither moved nor sorted.
+    """
+    at = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start")]
+    numbered = df.select("*", *at, F.monotonically_increasing_id().alias("_seq"))
+    splits = numbered.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("_n"), F.min("_seq").alias("_first"))
+    before = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)  # one row per split
+    splits = splits.select("_file", "_start", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    out = numbered.join(splits.withColumnsRenamed({"_file": "_f", "_start": "_s"}),
+                        (F.col("_file") == F.col("_f")) & (F.col("_start") == F.col("_s")))
+    return out.withColumn("row_id", F.col("_before") + F.col("_seq") - F.col("_first")).drop(
+        "_file", "_start", "_seq", "_f", "_s", "_first", "_before")
+
 
-    Logs in the reference's layout have no ``row_id``: with ``row_id='auto'`` the CSV
-    header (one line) or the Parquet schema decides, and a missing id is assigned in
-    file order (``monotonically_increasing_id`` follows the split order of a file).
+def load_behavior(spark: SparkSession, path: str, fmt: str = "csv", schema=BEHAVIOR_SCHEMA,
+                  row_id: str = "auto", strict: bool = False, time_text: bool = False) -> DataFrame:
+    """Read a behaviour log by column name: any column order, extra columns ignored, missing ones NULL.
+
+    CSV cells are read as text and parsed per column (``1.0`` is a whole number); unparsable cells
+    become NULL, or fail the job with ``strict`` (``bad_cells`` counts them).  ``time_text`` leaves
+    ``action_time`` as text for ``prepare_time`` to parse leniently or strictly.  Logs without
+    ``row_id`` (or with ``row_id='assign'``) are numbered in file order; such a log must have one
+    header per file, the same in all.
     """
     names = [f.name for f in schema.fields]
     if fmt == "csv":
-        has_id = "row_id" in names
-        if row_id == "auto" and has_id:
-            header = spark.read.text(path).first()
-            has_id = header is not None and "row_id" in [h.strip() for h in header[0].split(",")]
-        elif row_id == "assign":
-            has_id = False
-        body = schema if has_id else T.StructType([f for f in schema.fields if f.name != "row_id"])
-        df = spark.read.schema(body).options(**CSV_OPTIONS).csv(path)
-    elif fmt == "parquet":
-        df = spark.read.parquet(path)
-        df = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields if f.name in df.columns])
-    else:
+        df = _csv_text(spark, path)
+        have = set(df.columns)
+        assign = "row_id" in names and (row_id == "assign" or "row_id" not in have)
+        if assign:
+            df = _file_order_id(df.drop("row_id"))
+        cols = []
+        for f in schema.fields:
+            if f.name == "row_id" and assign:
+                cols.append(F.col("row_id").cast(f.dataType))
+            elif f.name not in have:
+                cols.append(F.lit(None).cast("string" if time_text and f.name == "action_time" else f.dataType).alias(f.name))
+            elif time_text and f.name == "action_time":
+                cols.append(F.nullif(F.col(f.name), F.lit("")).alias(f.name))
+            else:
+                cols.append(_parsed(f.name, f.dataType, strict).alias(f.name))
+        return df.select(*cols)
+    if fmt != "parquet":
         raise ValueError(f"unsupported format {fmt!r}")
-    if "row_id" not in df.columns and "row_id" in names:
-        df = df.withColumn("row_id", F.monotonically_increasing_id()).select(*names)
-    return df
+    df = spark.read.parquet(path)
+    if "row_id" in names and "row_id" not in df.columns:
+        df = _file_order_id(df)
+    return df.select(*[F.col(f.name).cast(f.dataType) if f.name in df.columns
+                       else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def _csv_text(spark: SparkSession, path: str) -> DataFrame:
+    """All columns as text, named by the header (trimmed); files whose headers differ fail the job."""
+    df = spark.read.option("header", "true").option("enforceSchema", "false").csv(path)
+    return df.withColumnsRenamed({c: c.strip() for c in df.columns if c != c.strip()})
+
+
+def bad_cells(spark: SparkSession, path: str, schema=BEHAVIOR_SCHEMA) -> DataFrame:
+    """(column, bad): cells of a CSV log that hold text but do not parse as the column's type."""
+    df = _csv_text(spark, path)
+    typed = [f for f in schema.fields if f.name in df.columns and not isinstance(f.dataType, T.StringType)]
+    counts = df.agg(*[F.count_if((F.trim(F.col(f"`{f.name}`")) != "") & _parsed(f.name, f.dataType, False).isNull())
+                      .alias(f.name) for f in typed])
+    return counts.unpivot([], [f.name for f in typed], "column", "bad")
 
 
 def head_n(df: DataFrame, n: int, order_col: str = "row_id") -> DataFrame:
@@ -62,18 +127,25 @@ def write_splits(df: DataFrame, path: str, fmt: str = "parquet", split_col: str
     write_table(df, path, fmt, partition_by=split_col)
 
 
-def read_splits(spark: SparkSession, path: str, fmt: str = "parquet", schema=None) -> DataFrame:
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
+# The split hand-off: the log with its time parts, the purchase label and the split.
+SPLIT_SCHEMA = T.StructType([*BEHAVIOR_SCHEMA.fields, *[T.StructField(c, T.IntegerType()) for c in (
+    "hour", "day", "month", "dayofweek", "target")], T.StructField("split", T.StringType())])
+
+
+def read_splits(spark: SparkSession, path: str, fmt: str = "parquet", schema=SPLIT_SCHEMA) -> DataFrame:
+    """A split dataset; CSV is read with the declared ``schema`` (no inference pass), by name."""
     if fmt == "csv":
-        return reader.options(**CSV_OPTIONS).option("inferSchema", schema is None).csv(path)
-    return reader.parquet(path)
+        df = _csv_text(spark, path)
+        return df.select(*[F.col(f.name).cast("string").alias(f.name) if isinstance(f.dataType, T.StringType)
+                           else _parsed(f.name, f.dataType, True).alias(f.name)
+                           for f in schema.fields if f.name in df.columns])
+    return spark.read.parquet(path)
 
 
-def read_split(spark: SparkSession, path: str, name: str, split_col: str = "split") -> DataFrame:
+def read_split(spark: SparkSession, path: str, name: str, split_col: str = "split",
+               fmt: str = "parquet") -> DataFrame:
     """One split; the partition filter prunes the other directories."""
-    return read_splits(spark, path).where(F.col(split_col) == name)
+    return read_splits(spark, path, fmt).where(F.col(split_col) == name)
 
 
 def prediction_table(df: DataFrame, prediction: str = "prediction", probability: str = "probability") -> DataFrame:
