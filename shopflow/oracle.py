@@ -335,6 +335,44 @@ members as (select a.row_id, a.label, a.p0 as a0, a.p1 as a1, a.p2 as a2, a.p3 a
 voted as (select *, """ + ", ".join(f"((a{i} + b{i}) + c{i}) / 3.0 as v{i}" for i in range(5)) + " from members)"
 
 
+def _learned(split: str) -> dict[str, str]:
+    """What must hold of learned results whatever the trees are (see ``shopflow.plans.learned``)."""
+    def per(key: str, part: str, columns: str) -> str:
+        names = ", ".join(f"count(*) as {c}" for c in columns.split())
+        return split + f"select {key}, {names} from (select *, cast(action_type - 1 as integer) as label from split) " \
+                       f"where split = '{part}' group by {key}"
+
+    def flags(key: str, values: list[str], columns: str) -> str:
+        rows = ", ".join(f"('{v}')" for v in values)
+        return f"select {key}, {', '.join(f'true as {c}' for c in columns.split())} from (values {rows}) t({key})"
+
+    def curve(metrics: tuple[str, str]) -> str:
+        rows = ", ".join(f"('{s}', '{m}')" for s in ("train", "valid") for m in metrics)
+        return f"select split, metric, true as gapless, true as in_range from (values {rows}) t(split, metric)"
+
+    members = [*[f"class_{c}" for c in range(5)], "forest", "linear"]
+    rules = ["kept_round_is_best", "stopped_by_patience", "model_has_kept_rounds", "fitted_at_most_twice_the_stop"]
+    ids = "select row_id, true as consistent, true as named"
+    return {
+        "train_binary": per("target", "val", "rows in_range consistent"),
+        "train_multiclass": per("label", "val", "rows sums_to_one consistent"),
+        "train_ensemble_members": per("label", "val", "rows boosted forest linear voting sums_to_one"),
+        "early_stopping": flags("rule", rules, "holds"),
+        "learning_curve": curve(("auc", "binary_logloss")),
+        "multiclass_learning_curve": curve(("macro_acc", "multi_logloss")),
+        "ensemble_comparison": flags("model", ["boosted", "forest", "linear", "voting"], "in_range recall_is_accuracy"),
+        "resume_training": flags("member", members, "first_run_fitted second_run_loaded refit_on_change"),
+        "model_roundtrip": split + "select count(*) as rows, count(*) as equal_rows from split where split = 'test'",
+        "score_batch": split + "select user_log_acct, item_sku_id, action_time, true as in_range, true as consistent "
+                               "from split where split = 'test'",
+        "feature_importance": "select cast(22 as bigint) as features, true as all_splits",
+        "multiclass_feature_importance": "select cast(22 as bigint) as features, true as all_splits",
+        "score_records": BASE + ids + ", 1.0::double as p_sum from behavior",
+        "score_records_stream": BASE + ids + ", 1.0::double as p_sum from behavior",
+        "score_records_fallback": BASE + ids + ", true as two_valued, true as in_range from behavior",
+    }
+
+
 def statements() -> dict[str, str]:
     q: dict[str, str] = {}
     B = BASE
@@ -358,6 +396,7 @@ select unnest(['train', 'test', 'val']), unnest([n_train, n_test, n - n_train -
     q["prediction_output"] = with_(K_CTE, BEHAVIOR_CTE, scored_cte()) + """select b.user_log_acct, b.item_sku_id,
   b.action_time, cast(case when s.probability > 0.5 then 1 else 0 end as integer) as prediction,
   round(s.probability, 6) as probability from behavior b join scored s using (row_id)"""
+    q |= _learned(split_from_labeled)
     bt = with_(K_CTE, BEHAVIOR_CTE, behavior_text_cte())
     q["time_text_clean"] = bt + r"select row_id, regexp_replace(action_time, '\.0$', '') as action_time from behavior_text"
     q["parse_time_coerce"] = bt + r"""select row_id,

@@ -19,13 +19,15 @@ from ..operators.encode import apply_dictionary, label_encode
 from ..operators.stats import (attach, attach_leave_one_out_means, attach_rich_stats, item_stats, ratio_features,
                                user_stats)
 from ..operators.windows import DEFAULT_ORDER, sequence_features
-from ..schema import CATEGORICALS, FEATURES, RICH_EXCLUDED
+from ..schema import CATEGORICALS, FEATURES, RICH_EXCLUDED, TIME_FORMAT
+
+LOG_TIME = f"{TIME_FORMAT}[.SSSSSS]"
 
 
 def prepare_time(df: DataFrame, mode: str = "coerce", time_col: str = "action_time") -> DataFrame:
     """Normalise ``action_time`` to a timestamp and add time parts.
 
-    Text input is cleaned (trailing ``.0``) and parsed: ``coerce`` turns bad text into
+    Text input is cleaned (trailing ``.0``) and parsed, with or without microseconds: ``coerce`` turns bad text into
     NULL, ``raise`` fails the job.  Timestamp input is used as is.
     """
     if time_col not in df.columns:
@@ -33,7 +35,7 @@ def prepare_time(df: DataFrame, mode: str = "coerce", time_col: str = "action_ti
     dtype = df.schema[time_col].dataType
     if isinstance(dtype, T.StringType):
         text = clean_time_text(time_col)
-        parsed = parse_time_coerce(text) if mode == "coerce" else parse_time_strict(text)
+        parsed = parse_time_coerce(text, LOG_TIME) if mode == "coerce" else parse_time_strict(text, LOG_TIME)
         df = df.withColumn(time_col, parsed)
     elif isinstance(dtype, T.TimestampType):
         df = df.withColumn(time_col, F.col(time_col).cast("timestamp_ntz"))

@@ -13,15 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fill import fill_missing_typed
-from ..functions.labels import binary_target, multiclass_label
-from ..operators.encode import fit_sorted_dictionary
-from ..operators.metrics import evaluation_report, score_summary, split_metrics
+from ..functions.labels import argmax, binary_target, multiclass_label
+from ..operators.encode import fit_sorted_dictionary, label_encode_joint
+from ..operators.metrics import evaluation_report, model_comparison, score_summary, split_metrics, stacked_models
 from ..operators.profile import row_weights
 from ..operators.split import split_report, stratified_split
-from ..schema import CATEGORICALS, FEATURES, NUM_CLASSES
+from ..schema import CATEGORICALS, FEATURES, NUM_CLASSES, RICH_CATEGORICALS
 from ..sources import io
 from . import train as T
-from .features import base_features, base_statistics, prepare_time
+from .features import base_features, base_statistics, prepare_time, rich_feature_matrix, rich_features
 
 SPLITS = ("train", "test", "val")
 
@@ -68,6 +68,25 @@ def train_multiclass_job(spark: SparkSession, data_dir: str, model_dir: str,
     return split_metrics(held_out[0].unionByName(held_out[1]))
 
 
+def train_ensemble_job(spark: SparkSession, data_dir: str, model_dir: str, params: T.BoostParams = T.MULTICLASS_PARAMS,
+                       fmt: str = "parquet", resume: bool = False, num_trees: int = 100,
+                       max_iter_linear: int = 100) -> DataFrame:
+    """The rich path: features per split, joint encoding of train and validation, three learners and their
+    vote, all saved as one bundle; validation accuracy and weighted averages of each member and the vote."""
+    parts = {n: io.read_split(spark, data_dir, n, fmt=fmt).drop("split", "target", "hour", "day", "month", "dayofweek")
+             .withColumn("label", multiclass_label()) for n in ("train", "val")}
+    rich = {n: rich_features(df) for n, df in parts.items()}
+    train, val = label_encode_joint([rich["train"], rich["val"]], RICH_CATEGORICALS)
+    features = rich_feature_matrix(train).columns
+    model = T.fit_ensemble(train, val, features, params, path=f"{model_dir}/work", num_trees=num_trees,
+                           max_iter_linear=max_iter_linear, resume=resume)
+    T.save_bundle(spark, model, f"{model_dir}/bundle")
+    out = model.transform(val)
+    members = {"boosted": argmax("p_boosted"), "forest": argmax("p_forest"), "linear": argmax("p_linear"),
+               "voting": F.col("prediction")}
+    return model_comparison(stacked_models(out, members))
+
+
 def _features_for(spark: SparkSession, bundle_dir: str, input_path: str, fmt: str, keep: tuple[str, ...],
                   training_statistics: bool = False, mode: str = "raise"):
     model, dictionary = T.load_bundle(spark, bundle_dir)

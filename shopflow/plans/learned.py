@@ -1,15 +1,17 @@
-"""Named queries whose output is learned (rows / invariant checks, no SQL oracle).
+"""Named queries whose output is learned.
 
-Models are trained once per (session, table folder) and reused by the queries.
-Round counts follow the reference's demo trainer (100 rounds, patience 20) for the
-binary model and a short schedule for the five one-vs-rest members.
+Models are trained once per (session, table folder) with the reference's settings (rounds, step and
+patience) and reused by the queries.  Scores of two engines' models cannot be compared, so the
+queries return what must hold whatever the trees are: rows and labels scored, ranges, sums,
+agreement of saved and live models, the patience rule; DuckDB derives the same from the tables.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
@@ -26,14 +28,16 @@ from ..sources import io
 from . import train as T
 from ..operators.encode import label_encode_joint
 from ..schema import RICH_CATEGORICALS
-from .features import base_features, prepare_time, rich_feature_matrix, rich_features
+from ..streaming.score_stream import run_request_stream
+from .features import base_features, base_statistics, prepare_time, rich_feature_matrix, rich_features
 from .score import request_backfill
 
 SEED = 42
 RATIOS = (0.7, 0.15, 0.15)
-BINARY_QUERY_PARAMS = T.DEMO_PARAMS
-MULTICLASS_QUERY_PARAMS = T.BoostParams(step_size=0.1, max_depth=6, min_instances_per_node=10, subsampling_rate=0.7,
-                                        feature_fraction=0.7, max_iter=30, patience=10)
+BINARY_QUERY_PARAMS = T.BINARY_PARAMS
+MULTICLASS_QUERY_PARAMS = T.MULTICLASS_PARAMS
+# the resume check fits every member up to twice and only compares what was fitted and what was loaded
+RESUME_PARAMS = T.BoostParams(step_size=0.1, max_depth=3, min_instances_per_node=10, max_iter=5)
 REQUEST_CLOCK = _dt.datetime(2024, 2, 1, 12, 0, 0)
 
 _CACHE: dict[tuple, object] = {}
@@ -98,7 +102,7 @@ def ensemble(spark: SparkSession, sf: str, path: str | None = None) -> T.Ensembl
     def build():
         r = rich_sets(spark, sf)
         return T.fit_ensemble(r["train"], r["val"], r["features"], MULTICLASS_QUERY_PARAMS, label_col="label",
-                              path=path, num_trees=30, max_iter_linear=50)
+                              path=path)
     return _cached(spark, sf, f"ensemble:{path}", build)
 
 
@@ -106,117 +110,175 @@ def bundles(spark: SparkSession, sf: str) -> dict[str, str]:
     def build():
         s = splits(spark, sf)
         root = scratch_path(spark, "bundles")
-        T.save_bundle(spark, binary_model(spark, sf), f"{root}/binary", s["dictionary"])
-        T.save_bundle(spark, multiclass_model(spark, sf), f"{root}/multiclass", s["dictionary"])
+        stats = base_statistics(s["raw"]["train"])
+        T.save_bundle(spark, binary_model(spark, sf), f"{root}/binary", s["dictionary"], stats)
+        T.save_bundle(spark, multiclass_model(spark, sf), f"{root}/multiclass", s["dictionary"], stats)
         return {"binary": f"{root}/binary", "multiclass": f"{root}/multiclass", "missing": f"{root}/none"}
     return _cached(spark, sf, "bundles", build)
 
 
 # ------------------------------------------------------------------ queries
+def _unit(c) -> Column:
+    c = F.col(c) if isinstance(c, str) else c
+    return c.between(0, 1)
+
+
 def q_train_binary(spark, sf):
+    """Validation rows per label, and how many got a probability in [0, 1] and the prediction it implies."""
     m = binary_model(spark, sf)
-    return m.transform(splits(spark, sf)["features"]["val"]).select("row_id", "target", "probability", "prediction")
+    out = m.transform(splits(spark, sf)["features"]["val"])
+    return out.groupBy("target").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(_unit("probability")).alias("in_range"),
+        F.count_if((F.col("probability") > 0.5).cast("int") == F.col("prediction")).alias("consistent"))
 
 
 def q_early_stopping(spark, sf):
+    """The patience rule on the binary curve: the kept round is the best one seen, and the run ended
+    ``patience`` rounds after it (or at the last allowed round)."""
     m = binary_model(spark, sf)
-    rows = [(i + 1, float(v), i + 1 <= m.best_iteration) for i, v in enumerate(m.curve)]
-    return spark.createDataFrame(rows, "iteration int, val_auc double, kept boolean")
+    p = BINARY_QUERY_PARAMS
+    best = m.best_iteration
+    rows = [("kept_round_is_best", m.curve[best - 1] == max(m.curve) and best == m.curve.index(max(m.curve)) + 1),
+            ("stopped_by_patience", m.stop_round - best == p.patience or m.stop_round == p.max_iter),
+            ("model_has_kept_rounds", m.model.getNumTrees == best),
+            ("fitted_at_most_twice_the_stop", m.fitted_rounds <= max(2 * m.stop_round, p.patience + p.patience // 4))]
+    return spark.createDataFrame(rows, "rule string, holds boolean")
+
+
+def _curve_shape(curve: DataFrame) -> DataFrame:
+    """Per split and metric: rounds 1..n each once, and all values in the metric's range."""
+    in_range = F.when(F.col("metric").endswith("logloss"), F.col("value") >= 0).otherwise(_unit("value"))
+    return curve.groupBy("split", "metric").agg(
+        ((F.count(F.lit(1)) == F.max("iteration")) & (F.countDistinct("iteration") == F.max("iteration"))).alias("gapless"),
+        F.every(in_range).alias("in_range"))
 
 
 def q_learning_curve(spark, sf):
     m = binary_model(spark, sf)
     f = splits(spark, sf)["features"]
-    return T.learning_curve(m.path, spark, {"train": f["train"], "valid": f["val"]}, FEATURES,
-                            last_round=m.stop_round)
+    return _curve_shape(T.learning_curve(m.path, spark, {"train": f["train"], "valid": f["val"]}, FEATURES,
+                                         last_round=m.stop_round))
 
 
 def q_multiclass_learning_curve(spark, sf):
     m = multiclass_model(spark, sf)
     f = splits(spark, sf)["features"]
-    return T.multiclass_learning_curve(m, {"train": f["train"], "valid": f["val"]}, NUM_CLASSES,
-                                       last_round=m.stop_round)
+    return _curve_shape(T.multiclass_learning_curve(m, {"train": f["train"], "valid": f["val"]}, NUM_CLASSES,
+                                                    last_round=m.stop_round))
 
 
 def q_train_multiclass(spark, sf):
+    """Validation rows per label, and how many got class probabilities that sum to 1 and their argmax."""
     m = multiclass_model(spark, sf)
     out = m.transform(splits(spark, sf)["features"]["val"])
-    return out.select("row_id", "label", "prediction",
-                      *[F.element_at("probabilities", i + 1).alias(f"p{i}") for i in range(NUM_CLASSES)])
+    total = F.aggregate("probabilities", F.lit(0.0), lambda a, b: a + b)
+    return out.groupBy("label").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.abs(total - 1) < 1e-9).alias("sums_to_one"),
+        F.count_if(F.element_at("probabilities", F.col("prediction") + 1) == F.array_max("probabilities")).alias("consistent"))
 
 
-def q_train_ensemble_members(spark, sf):
+def ensemble_predictions(spark, sf) -> DataFrame:
     e = ensemble(spark, sf)
     out = e.transform(rich_sets(spark, sf)["val"])
     return out.select("row_id", "label", L.argmax("p_boosted").alias("boosted"), L.argmax("p_forest").alias("forest"),
-                      L.argmax("p_linear").alias("linear"), F.col("prediction").alias("voting"))
+                      L.argmax("p_linear").alias("linear"), F.col("prediction").alias("voting"), "p_vote")
+
+
+def q_train_ensemble_members(spark, sf):
+    """Validation rows per label: each member and the vote name a class, the vote's probabilities sum to 1."""
+    total = F.aggregate("p_vote", F.lit(0.0), lambda a, b: a + b)
+    classes = [F.count_if(F.col(n).between(0, NUM_CLASSES - 1)).alias(n) for n in ("boosted", "forest", "linear", "voting")]
+    return ensemble_predictions(spark, sf).groupBy("label").agg(
+        F.count(F.lit(1)).alias("rows"), *classes, F.count_if(F.abs(total - 1) < 1e-9).alias("sums_to_one"))
 
 
 def q_ensemble_comparison(spark, sf):
-    """Validation accuracy and weighted precision / recall / F1 of each member and of the vote."""
-    m = q_train_ensemble_members(spark, sf)
-    return model_comparison(stacked_models(m, {n: F.col(n) for n in ("boosted", "forest", "linear", "voting")}))
+    """Validation accuracy and weighted precision / recall / F1 of each member and of the vote are in [0, 1];
+    weighted recall is accuracy."""
+    m = ensemble_predictions(spark, sf)
+    out = model_comparison(stacked_models(m, {n: F.col(n) for n in ("boosted", "forest", "linear", "voting")}))
+    ok = _unit("accuracy") & _unit("precision") & _unit("recall") & _unit("f1")
+    return out.select("model", ok.alias("in_range"), (F.abs(F.col("recall") - F.col("accuracy")) < 1e-9).alias("recall_is_accuracy"))
 
 
 def q_resume_training(spark, sf):
+    """Per member: the first run fits it, a second run with the same data and parameters loads it, and a
+    third with other parameters fits it anew."""
     path = scratch_path(spark, "resumable-ensemble")
     r = rich_sets(spark, sf)
-    f, feats = {"train": r["train"]}, r["features"]
-    T.fit_ensemble(f["train"], None, feats, MULTICLASS_QUERY_PARAMS, label_col="label", path=path,
-                   num_trees=10, max_iter_linear=20)
-    members = [f"boosted/class_{c}/full" for c in range(NUM_CLASSES)] + ["forest", "linear"]
-    saved = [(m, T.path_exists(spark, f"{path}/{m}/metadata")) for m in members]
-    # second run: every member is found and loaded instead of refitted
-    T.fit_ensemble(f["train"], None, feats, MULTICLASS_QUERY_PARAMS, label_col="label", path=path,
-                   num_trees=10, max_iter_linear=20, resume=True)
-    return spark.createDataFrame(saved, "member string, saved boolean")
+    fitted = []
+    for params, trees, iterations in ((RESUME_PARAMS, 10, 20), (RESUME_PARAMS, 10, 20),
+                                      (replace(RESUME_PARAMS, max_iter=4), 9, 19)):
+        events: list[tuple[str, bool]] = []
+        T.fit_ensemble(r["train"], None, r["features"], params, label_col="label", path=path, num_trees=trees,
+                       max_iter_linear=iterations, resume=True, events=events)
+        fitted.append(dict(events))
+    rows = [(m, fitted[0][m], not fitted[1][m], fitted[2][m]) for m in sorted(fitted[0])]
+    return spark.createDataFrame(rows, "member string, first_run_fitted boolean, second_run_loaded boolean, "
+                                       "refit_on_change boolean")
 
 
 def q_model_roundtrip(spark, sf):
+    """Test rows, and how many score the same with the trained and the saved and loaded model."""
     m = binary_model(spark, sf)
     loaded, _ = T.load_bundle(spark, bundles(spark, sf)["binary"])
     test = splits(spark, sf)["features"]["test"]
     a = m.transform(test).select("row_id", F.col("probability").alias("p_trained"))
     b = loaded.transform(test).select("row_id", F.col("probability").alias("p_loaded"))
-    return a.join(b, "row_id").withColumn("equal", F.col("p_trained") == F.col("p_loaded"))
+    return a.join(b, "row_id").agg(F.count(F.lit(1)).alias("rows"),
+                                   F.count_if(F.col("p_trained") == F.col("p_loaded")).alias("equal_rows"))
 
 
 def q_score_batch(spark, sf):
+    """The written prediction table of the test log: every row's ids, with a valid and consistent score."""
     model, dictionary = T.load_bundle(spark, bundles(spark, sf)["binary"])
     raw_test = splits(spark, sf)["raw"]["test"]
     keep = ("user_log_acct", "item_sku_id", "action_time")
     scored = model.transform(base_features(raw_test, keep=keep, dictionary=dictionary))
     path = scratch_path(spark, "scores")
     io.write_predictions(scored, path, fmt="parquet")
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).select(
+        *keep, _unit("probability").alias("in_range"),
+        ((F.col("probability") > 0.5).cast("int") == F.col("prediction")).alias("consistent"))
+
+
+def _importance_check(spark, models: list, importance: DataFrame) -> DataFrame:
+    """Features listed, and whether all splits of the models' trees are counted (inner nodes of binary trees
+    are half of the nodes, rounded down)."""
+    inner = sum((t.numNodes - 1) // 2 for m in models for t in m.trees)
+    return importance.agg(F.count(F.lit(1)).alias("features"), (F.sum("splits") == F.lit(inner)).alias("all_splits"))
 
 
 def q_feature_importance(spark, sf):
     m = binary_model(spark, sf)
     best = f"{m.path}/best" if T.path_exists(spark, f"{m.path}/best/metadata") else f"{m.path}/full"
-    return T.feature_importance(spark, best, FEATURES)
+    return _importance_check(spark, [m.model], T.feature_importance(spark, best, FEATURES, top_n=len(FEATURES)))
 
 
 def q_multiclass_feature_importance(spark, sf):
     m = multiclass_model(spark, sf)
-    paths = []
-    for c in m.classes:
-        best = f"{m.path}/class_{c}/best"
-        paths.append(best if T.path_exists(spark, f"{best}/metadata") else f"{m.path}/class_{c}/full")
-    return T.feature_importance(spark, paths, FEATURES)
+    kind = "best" if T.path_exists(spark, f"{m.path}/best/class_0/metadata") else "full"
+    paths = [f"{m.path}/{kind}/class_{c}" for c in m.classes]
+    return _importance_check(spark, list(m.members.values()),
+                             T.feature_importance(spark, paths, FEATURES, top_n=len(FEATURES)))
 
 
 def score_requests(spark: SparkSession, requests: DataFrame, sample: DataFrame, stats_sample: DataFrame,
-                   multiclass_path: str, binary_path: str) -> DataFrame:
+                   multiclass_path: str, binary_path: str, now: _dt.datetime | None = None,
+                   first_seen: bool = False) -> DataFrame:
     """Request rows -> (action_type, name, class probabilities, confidence, two-valued flag).
 
-    Uses the five-class bundle, or the binary one when it is missing.  Works on batch
-    and streaming ``requests`` alike (the dictionary and means are static).
+    Uses the five-class bundle, or the binary one when it is missing, with the bundle's training dictionary
+    and frozen user and item statistics; users and items it does not know get the sample's means.
+    ``first_seen`` encodes in the sample's first-seen order instead.  Blank times are ``now`` (the
+    current time if None).  Works on batch and streaming ``requests`` alike.
     """
-    model, _ = T.load_scoring_model(spark, multiclass_path, binary_path)
-    dictionary = fit_first_seen_dictionary(sample, CATEGORICALS)
-    feats = request_backfill(request_defaults(requests, now=REQUEST_CLOCK), sample, stats_sample,
-                             keep=("row_id",), dictionary=dictionary)
+    path = T.scoring_bundle(spark, multiclass_path, binary_path)
+    model, dictionary = T.load_bundle(spark, path)
+    if first_seen or dictionary is None:
+        dictionary = fit_first_seen_dictionary(sample, CATEGORICALS)
+    feats = request_backfill(request_defaults(requests, now=now), sample, stats_sample,
+                             keep=("row_id",), dictionary=dictionary, statistics=T.load_statistics(spark, path))
     if isinstance(model, T.MultiClassModel):
         out = model.class_probabilities(feats).withColumn("_p", F.col("probabilities"))
     else:
@@ -229,29 +291,37 @@ def score_requests(spark: SparkSession, requests: DataFrame, sample: DataFrame,
                       *[F.element_at("_p", i + 1).alias(f"p{i + 1}") for i in range(NUM_CLASSES)])
 
 
-def _request_inputs(spark, sf):
-    sample = splits(spark, sf)["raw"]["val"]
-    stats_sample = splits(spark, sf)["features"]["val"]
-    return sample, stats_sample
+def _scorer(spark, sf, fallback: bool = False):
+    b, s = bundles(spark, sf), splits(spark, sf)
+    sample, stats_sample = s["raw"]["val"], s["features"]["val"]
+    return lambda requests: score_requests(spark, requests, sample, stats_sample,
+                                           b["missing" if fallback else "multiclass"], b["binary"], now=REQUEST_CLOCK)
+
+
+def _record_check(scored: DataFrame) -> DataFrame:
+    """Every request once, its action the argmax of its probabilities; their sum (1 for a five-class model)."""
+    p = F.array(*[F.col(f"p{i + 1}") for i in range(NUM_CLASSES)])
+    total = F.aggregate(p, F.lit(0.0), lambda a, b: a + b)
+    return scored.select("row_id", F.round(total, 6).alias("p_sum"),
+                         (F.element_at(p, F.col("action_type")) == F.array_max(p)).alias("consistent"),
+                         F.col("action_name").isNotNull().alias("named"))
 
 
 def q_score_records(spark, sf):
-    b = bundles(spark, sf)
-    sample, stats_sample = _request_inputs(spark, sf)
-    return score_requests(spark, FX.requests(spark, sf), sample, stats_sample, b["multiclass"], b["binary"])
+    return _record_check(_scorer(spark, sf)(FX.requests(spark, sf)))
 
 
 def q_score_records_fallback(spark, sf):
-    b = bundles(spark, sf)
-    sample, stats_sample = _request_inputs(spark, sf)
-    return score_requests(spark, FX.requests(spark, sf), sample, stats_sample, b["missing"], b["binary"])
+    """A binary model's records: one probability in [0, 1] padded with zeros, so two-valued."""
+    out = _scorer(spark, sf, fallback=True)(FX.requests(spark, sf))
+    return _record_check(out).drop("p_sum").join(out.select("row_id", "two_valued", _unit("p1").alias("in_range")), "row_id")
 
 
 def q_score_records_stream(spark, sf):
-    from ..streaming.score_stream import run_request_stream
-    b = bundles(spark, sf)
-    sample, stats_sample = _request_inputs(spark, sf)
-    return run_request_stream(spark, FX.requests(spark, sf), sample, stats_sample, b["multiclass"], b["binary"])
+    inbox, sink, ckpt = (scratch_path(spark, n) for n in ("request-inbox", "request-scores", "request-stream-ckpt"))
+    requests = FX.requests(spark, sf)
+    requests.write.parquet(inbox)
+    return _record_check(run_request_stream(spark, inbox, requests.schema, sink, ckpt, _scorer(spark, sf)))
 
 
 LEARNED_QUERIES = {name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)}

@@ -4,9 +4,11 @@
 * Five classes: one weighted ``GBTClassifier`` per class (one-vs-rest), fitted
   concurrently from a small driver thread pool; class probabilities are the
   members' positive probabilities divided by their sum.
-* Patience: boosting is sequential, so fitting ``max_iter`` rounds and keeping the
-  best prefix of trees selects the same model as stopping early.  The prefix is a
-  real MLlib model: the saved tree table is filtered to the first ``n`` trees.
+* Patience: boosting is sequential, so a run of fewer rounds gives a prefix of the trees of a
+  longer one.  A little over the patience is fitted first and doubled until the rule stops, so the
+  cost follows the stopping round and not ``max_iter``; the kept model is the run of the best round.
+* Resume: every member is saved as its fit ends, with a marker written last that names its
+  parameters, features, label and data; a member is loaded only if the marker says the same.
 * Persistence: a bundle folder on the shared file system holds the models, the
   feature list and (optionally) the frozen category dictionary.
 """
@@ -16,7 +18,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
 from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier, LogisticRegression,
@@ -77,19 +79,33 @@ def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 ROWS_PER_TRAINING_TASK = 20_000
+MAX_TRAINING_TASKS = 4096
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Training input over enough partitions: MLlib aggregates tree statistics per partition,
-    so a one-file split would otherwise build every tree on one core.  Only inputs with
-    fewer partitions than the default parallelism are counted and, if large enough, spread
-    to about one partition per ``ROWS_PER_TRAINING_TASK`` rows."""
-    n = df.sparkSession.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
-    if have >= n:
-        return df
-    want = min(n, -(-df.count() // ROWS_PER_TRAINING_TASK))
-    return df.repartition(want) if want > have else df
+def training_table(df: DataFrame) -> DataFrame:
+    """The feature pipeline's result written once; fits and fingerprints read the table."""
+    path = scratch_path(df.sparkSession, "training-table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def training_frame(table: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Assembled rows in partitions that depend on the rows alone.
+
+    MLlib samples rows per partition in their order, so partitions are dealt by the rows' hash, sorted,
+    and as many as the row count asks for: the same data and seed give the same model on any cluster.
+    """
+    parts = min(MAX_TRAINING_TASKS, max(1, -(-table.count() // ROWS_PER_TRAINING_TASK)))
+    key = F.xxhash64(*[F.col(f"`{c}`") for c in table.columns])
+    return assemble(table.withColumn("_deal", key).repartition(parts, "_deal").sortWithinPartitions("_deal"),
+                    features).drop("_deal")
+
+
+def data_id(table: DataFrame) -> str:
+    """Count and order-free hash of a table's rows."""
+    row = table.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64(*[F.col(f"`{c}`") for c in table.columns])),
+                                                  F.lit(0))).first()
+    return f"{row[0]}:{row[1]}"
 
 
 def positive_probability(col: str = "probability"):
@@ -107,18 +123,36 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def truncate_gbt(spark: SparkSession, model_path: str, n_trees: int, out_path: str) -> GBTClassificationModel:
-    """A saved GBT model cut to its first ``n_trees`` trees (identical scores to stopping there)."""
-    meta_line = spark.read.text(f"{model_path}/metadata").first()[0]
-    meta = json.loads(meta_line)
-    meta["numTrees"] = int(n_trees)
-    spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(
-        f"{out_path}/metadata")
-    for part in ("data", "treesMetadata"):
-        df = spark.read.parquet(f"{model_path}/{part}")
-        tid = "treeID" if "treeID" in df.columns else df.columns[0]
-        df.where(F.col(tid) < n_trees).coalesce(1).write.mode("overwrite").parquet(f"{out_path}/{part}")
-    return GBTClassificationModel.load(out_path)
+def fingerprint(estimator, features: Sequence[str], data: str) -> str:
+    """What a saved member was fitted with: class, parameters, feature columns and data."""
+    params = {p.name: str(v) for p, v in estimator.extractParamMap().items()}
+    return json.dumps([type(estimator).__name__, params, list(features), data], sort_keys=True)
+
+
+def save_member(spark: SparkSession, model, path: str, mark: str) -> None:
+    """The model, then its marker: a member without a marker was not saved in full."""
+    model.write().overwrite().save(path)
+    spark.createDataFrame([(mark,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}.done")
+
+
+def saved_member(spark: SparkSession, cls, path: str, mark: str):
+    """The saved member if it is complete and was fitted with the same things, else None."""
+    if not path_exists(spark, f"{path}.done"):
+        return None
+    line = spark.read.option("wholetext", "true").text(f"{path}.done").first()
+    return cls.load(path) if line is not None and line[0].strip() == mark else None
+
+
+def _fit_or_load(spark: SparkSession, estimator, cls, data: DataFrame, path: str, mark: str, resume: bool,
+                 events: list | None = None):
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    found = saved_member(spark, cls, path, mark) if resume else None
+    if events is not None:
+        events.append((name, found is None))
+    if found is None:
+        found = estimator.fit(data)
+        save_member(spark, found, path, mark)
+    return found
 
 
 def _patience_scan(curve: Sequence[float], patience: int, higher_is_better: bool) -> tuple[int, int | None]:
@@ -188,40 +222,62 @@ class BinaryModel:
                 .drop(FEATURES_COL, "rawPrediction"))
 
 
+def _rounds_until_stop(params: BoostParams, fit, curve_of, every: int = 1) -> tuple[object, int, list[float], int]:
+    """(model, rounds fitted, curve, best round): a little over the patience first, doubled until the rule stops."""
+    rounds = min(params.max_iter, max(params.patience + params.patience // 4, 1))
+    while True:
+        model = fit(rounds)
+        curve, best = curve_of(model, rounds)
+        if len(curve) < rounds // every or rounds >= params.max_iter:
+            return model, rounds, curve, best
+        rounds = min(params.max_iter, 2 * rounds)
+
+
 def fit_binary(train: DataFrame, val: DataFrame | None, features: Sequence[str], params: BoostParams = BINARY_PARAMS,
                label_col: str = "target", path: str | None = None, stop_metric: str = "auc",
                eval_every: int = 1) -> BinaryModel:
-    """Fit ``max_iter`` rounds, then keep the best tree prefix by ``params.patience`` on the validation curve.
+    """Boost until ``params.patience`` rounds bring nothing on the validation curve; keep the best round's model.
 
-    ``stop_metric='auc'`` (the reference's) scores every ``eval_every``-th round exactly
-    from staged margins; ``'logloss'`` reads MLlib's per-round loss (cheaper).
+    ``stop_metric='auc'`` (the reference's) scores every ``eval_every``-th round exactly from staged
+    margins; ``'logloss'`` adds up losses per batch (no row is repeated per round; for large validation sets).
     """
-    from .staged import binary_round_metrics, curve_from_metrics, staged_margins
+    from .staged import binary_round_loss, binary_round_metrics, curve_from_metrics, staged_margins
 
+    if stop_metric not in ("auc", "logloss"):
+        raise ValueError(f"unknown stop metric {stop_metric!r}")
     spark = train.sparkSession
     checkpoint_root(spark)
     path = path or scratch_path(spark, "binary-model")
-    tr = spread(assemble(train.withColumn(label_col, F.col(label_col).cast("double")), features))
-    full = params.estimator(label_col).fit(tr)
-    full.write().overwrite().save(f"{path}/full")
-    n = full.getNumTrees
-    curve, best = [], n
-    if val is not None:
-        if stop_metric == "auc":
-            def score(rounds: list[int]) -> list[float]:
-                staged = staged_margins(val, {0: f"{path}/full"}, features, rounds, keep=[label_col])
-                return curve_from_metrics(binary_round_metrics(staged, label_col), "auc")
-
-            curve, best = patience_curve(score, n, params.patience, eval_every, higher_is_better=True)
-        elif stop_metric == "logloss":
-            va = assemble(val.withColumn(label_col, F.col(label_col).cast("double")), features)
-            losses = [x / 2.0 for x in full.evaluateEachIteration(va)]  # MLlib log loss is twice the usual one
-            curve, best = patience_curve(lambda rs: [losses[r - 1] for r in rs], n, params.patience)
+    table = training_table(train.select(F.col(label_col).cast("double").alias(label_col), *features))
+    tr = training_frame(table, features).persist(StorageLevel.MEMORY_AND_DISK)
+    every = eval_every if stop_metric == "auc" else 1
+
+    def fit(rounds: int) -> GBTClassificationModel:
+        return replace(params, max_iter=rounds).estimator(label_col).fit(tr)
+
+    def curve_of(model: GBTClassificationModel, n: int) -> tuple[list[float], int]:
+        def score(rounds: list[int]) -> list[float]:
+            if stop_metric == "logloss":
+                return curve_from_metrics(binary_round_loss(val, model, features, rounds, label_col), "logloss")
+            staged = staged_margins(val, {0: model}, features, rounds, keep=[label_col])
+            return curve_from_metrics(binary_round_metrics(staged, label_col), "auc")
+
+        return patience_curve(score, n, params.patience, every, higher_is_better=stop_metric == "auc")
+
+    try:
+        if val is None:
+            full, n, curve, best = fit(params.max_iter), params.max_iter, [], params.max_iter
         else:
-            raise ValueError(f"unknown stop metric {stop_metric!r}")
-    model = truncate_gbt(spark, f"{path}/full", best, f"{path}/best") if best < n else full
-    stop = n if val is None else len(curve) * (eval_every if stop_metric == "auc" else 1)
-    return BinaryModel(model, list(features), best, path, curve, fitted_rounds=n, stop_round=stop)
+            full, n, curve, best = _rounds_until_stop(params, fit, curve_of, every)
+        full.write().overwrite().save(f"{path}/full")
+        model = full
+        if best < full.getNumTrees:
+            model = fit(best)
+            model.write().overwrite().save(f"{path}/best")
+    finally:
+        tr.unpersist()
+    stop = n if val is None else len(curve) * every
+    return BinaryModel(model, list(features), best, path, curve, fitted_rounds=full.getNumTrees, stop_round=stop)
 
 
 # ------------------------------------------------------------------ five classes
@@ -258,56 +314,55 @@ class MultiClassModel:
         return out.withColumn("prediction", argmax("probabilities"))
 
 
-def _fit_members(estimators: dict[int, GBTClassifier], data: dict[int, DataFrame], threads: int) -> dict:
-    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        futs = {c: pool.submit(estimators[c].fit, data[c]) for c in estimators}
-        return {c: f.result() for c, f in futs.items()}
-
-
 def fit_multiclass(train: DataFrame, val: DataFrame | None, features: Sequence[str],
                    params: BoostParams = MULTICLASS_PARAMS, label_col: str = "label", weight_col: str | None = "weight",
                    num_classes: int = 5, path: str | None = None, threads: int = 5,
-                   resume: bool = True, stop_metric: str = "multi_logloss", eval_every: int = 1) -> MultiClassModel:
-    """One weighted GBT per class; members already saved under ``path`` are loaded, not refitted.
+                   resume: bool = False, stop_metric: str = "multi_logloss", eval_every: int = 1,
+                   events: list | None = None) -> MultiClassModel:
+    """One weighted GBT per class, fitted concurrently and saved as each fit ends.
 
-    The patience rule runs on the validation ``multi_logloss`` (or ``macro_acc``) of the
-    normalised one-vs-rest probabilities, computed exactly per round from staged margins.
+    With ``resume``, members saved under ``path`` with the same parameters, features and data are loaded
+    (``events`` collects (member, fitted)).  The patience rule runs on the validation ``multi_logloss``
+    (or ``macro_acc``) of the normalised one-vs-rest probabilities.
     """
+    from .staged import curve_from_metrics, multiclass_round_metrics
+
     spark = train.sparkSession
     checkpoint_root(spark)
     path = path or scratch_path(spark, "multiclass-model")
-    base = spread(assemble(train, features))
-    data, ests, members = {}, {}, {}
-    for c in range(num_classes):
-        mpath = f"{path}/class_{c}/full"
-        if resume and path_exists(spark, f"{mpath}/metadata"):
-            members[c] = GBTClassificationModel.load(mpath)
-            continue
-        data[c] = base.withColumn("_y", (F.col(label_col) == c).cast("double"))
-        ests[c] = params.estimator("_y", weight_col)
-    if ests:
-        base.persist(StorageLevel.MEMORY_AND_DISK)  # shared by the concurrent member fits
-    fitted = _fit_members(ests, data, threads)
-    base.unpersist()
-    for c, m in fitted.items():
-        m.write().overwrite().save(f"{path}/class_{c}/full")
-        members[c] = m
-    n = min(m.getNumTrees for m in members.values())
-    curve, best, stop = [], n, n
-    if val is not None:
-        from .staged import curve_from_metrics, multiclass_round_metrics, staged_margins
-
-        paths = {c: f"{path}/class_{c}/full" for c in members}
-
+    weights = [weight_col] if weight_col else []
+    table = training_table(train.select(label_col, *weights, *features))
+    data = data_id(table)
+    base = training_frame(table, features).persist(StorageLevel.MEMORY_AND_DISK)  # shared by the concurrent fits
+
+    def fit(rounds: int, kind: str = "full") -> dict[int, GBTClassificationModel]:
+        def one(c: int) -> GBTClassificationModel:
+            est = replace(params, max_iter=rounds).estimator("_y", weight_col)
+            return _fit_or_load(spark, est, GBTClassificationModel,
+                                base.withColumn("_y", (F.col(label_col) == c).cast("double")),
+                                f"{path}/{kind}/class_{c}", fingerprint(est, features, data), resume,
+                                events if kind == "full" else None)
+
+        with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+            return dict(enumerate(pool.map(one, range(num_classes))))
+
+    def curve_of(members: dict[int, GBTClassificationModel], n: int) -> tuple[list[float], int]:
         def score(rounds: list[int]) -> list[float]:
-            staged = staged_margins(val, paths, features, rounds, keep=[label_col])
-            return curve_from_metrics(multiclass_round_metrics(staged, num_classes, label_col), stop_metric)
-
-        curve, best = patience_curve(score, n, params.patience, eval_every,
-                                     higher_is_better=stop_metric == "macro_acc")
-        stop = len(curve) * eval_every
-    if best < min(m.getNumTrees for m in members.values()):
-        members = {c: truncate_gbt(spark, f"{path}/class_{c}/full", best, f"{path}/class_{c}/best") for c in members}
+            return curve_from_metrics(multiclass_round_metrics(val, members, features, rounds, num_classes, label_col),
+                                      stop_metric)
+
+        return patience_curve(score, n, params.patience, eval_every, higher_is_better=stop_metric == "macro_acc")
+
+    try:
+        if val is None:
+            members, curve, best, stop = fit(params.max_iter), [], params.max_iter, params.max_iter
+        else:
+            members, n, curve, best = _rounds_until_stop(params, fit, curve_of, eval_every)
+            stop = len(curve) * eval_every
+            if best < n:
+                members = fit(best, "best")
+    finally:
+        base.unpersist()
     return MultiClassModel(members, list(features), best, path, curve, stop_round=stop)
 
 
@@ -326,8 +381,7 @@ def learning_curve(model_path: str, spark: SparkSession, sets: dict[str, DataFra
     rounds = list(range(every, n + 1, every))
     out = None
     for name, df in sets.items():
-        m = binary_round_metrics(staged_margins(df, {0: f"{model_path}/full"}, features, rounds, [label_col]),
-                                 label_col)
+        m = binary_round_metrics(staged_margins(df, {0: full}, features, rounds, [label_col]), label_col)
         part = m.select(F.col("round").alias("iteration"), F.lit(name).alias("split"),
                         F.create_map(F.lit("auc"), F.col("auc"), F.lit("binary_logloss"), F.col("logloss"))
                         .alias("_m")).select("iteration", "split", F.explode("_m").alias("metric", "value"))
@@ -341,16 +395,15 @@ def multiclass_learning_curve(model: "MultiClassModel", sets: dict[str, DataFram
 
     ``last_round`` ends the curve early (e.g. at ``model.stop_round``); by default every fitted round.
     """
-    from .staged import multiclass_round_metrics, staged_margins
+    from .staged import multiclass_round_metrics
 
-    paths = {c: f"{model.path}/class_{c}/full" for c in model.members}
-    n = min(GBTClassificationModel.load(p).getNumTrees for p in paths.values())  # all fitted rounds
+    full = {c: GBTClassificationModel.load(f"{model.path}/full/class_{c}") for c in model.members}
+    n = min(m.getNumTrees for m in full.values())  # all fitted rounds
     n = min(n, last_round or n)
     rounds = list(range(every, n + 1, every))
     out = None
     for name, df in sets.items():
-        m = multiclass_round_metrics(staged_margins(df, paths, model.features, rounds, [label_col]),
-                                     num_classes, label_col)
+        m = multiclass_round_metrics(df, full, model.features, rounds, num_classes, label_col)
         part = m.select(F.col("round").alias("iteration"), F.lit(name).alias("split"),
                         F.create_map(F.lit("macro_acc"), F.col("macro_acc"), F.lit("multi_logloss"),
                                      F.col("multi_logloss")).alias("_m")).select(
@@ -385,51 +438,52 @@ class Ensemble:
 
 def fit_ensemble(train: DataFrame, val: DataFrame | None, features: Sequence[str], params: BoostParams,
                  label_col: str = "label", path: str | None = None, num_trees: int = 100,
-                 max_iter_linear: int = 100, resume: bool = True) -> Ensemble:
+                 max_iter_linear: int = 100, resume: bool = False, events: list | None = None) -> Ensemble:
     """Boosted one-vs-rest members, a random forest and a multinomial logistic regression.
 
-    Each member is saved when fitted; a re-run with ``resume`` loads saved members.
+    Each member is saved when its fit ends; a re-run with ``resume`` loads the members saved with the same
+    parameters, features and data (``events`` collects (member, fitted)).
     """
     spark = train.sparkSession
     path = path or scratch_path(spark, "ensemble")
     boosted = fit_multiclass(train, val, features, params, label_col=label_col, weight_col=None,
-                             path=f"{path}/boosted", resume=resume)
-    tr = spread(assemble(train.withColumn(label_col, F.col(label_col).cast("double")), features))
-    rf_path, lr_path = f"{path}/forest", f"{path}/linear"
-    if resume and path_exists(spark, f"{rf_path}/metadata"):
-        forest = RandomForestClassificationModel.load(rf_path)
-    else:
-        forest = RandomForestClassifier(featuresCol=FEATURES_COL, labelCol=label_col, numTrees=num_trees,
-                                        maxDepth=params.max_depth, maxBins=params.max_bins, seed=params.seed,
-                                        checkpointInterval=params.checkpoint_interval).fit(tr)
-        forest.write().overwrite().save(rf_path)
-    if resume and path_exists(spark, f"{lr_path}/metadata"):
-        linear = LogisticRegressionModel.load(lr_path)
-    else:
-        linear = LogisticRegression(featuresCol=FEATURES_COL, labelCol=label_col, family="multinomial",
-                                    maxIter=max_iter_linear, standardization=True).fit(tr)
-        linear.write().overwrite().save(lr_path)
+                             path=f"{path}/boosted", resume=resume, events=events)
+    table = training_table(train.select(F.col(label_col).cast("double").alias(label_col), *features))
+    data, tr = data_id(table), training_frame(table, features)
+    est = RandomForestClassifier(featuresCol=FEATURES_COL, labelCol=label_col, numTrees=num_trees,
+                                 maxDepth=params.max_depth, maxBins=params.max_bins, seed=params.seed,
+                                 checkpointInterval=params.checkpoint_interval)
+    forest = _fit_or_load(spark, est, RandomForestClassificationModel, tr, f"{path}/forest",
+                          fingerprint(est, features, data), resume, events)
+    est = LogisticRegression(featuresCol=FEATURES_COL, labelCol=label_col, family="multinomial",
+                             maxIter=max_iter_linear, standardization=True)
+    linear = _fit_or_load(spark, est, LogisticRegressionModel, tr, f"{path}/linear",
+                          fingerprint(est, features, data), resume, events)
     return Ensemble(boosted, forest, linear, list(features))
 
 
 # ------------------------------------------------------------------ persistence
-def save_bundle(spark: SparkSession, model: BinaryModel | MultiClassModel, path: str,
+def save_bundle(spark: SparkSession, model: BinaryModel | MultiClassModel | Ensemble, path: str,
                 dictionary: DataFrame | None = None, statistics: dict[str, DataFrame] | None = None) -> None:
     """Models, feature list, best iteration and optional frozen dictionary / statistics under one folder."""
-    kind = "binary" if isinstance(model, BinaryModel) else "multiclass"
-    meta = {"kind": kind, "features": model.features, "best_iteration": model.best_iteration}
-    if kind == "binary":
-        model.model.write().overwrite().save(f"{path}/model")
+    boosted = model.boosted if isinstance(model, Ensemble) else model
+    kind = {BinaryModel: "binary", MultiClassModel: "multiclass", Ensemble: "ensemble"}[type(model)]
+    meta = {"kind": kind, "features": model.features, "best_iteration": boosted.best_iteration}
+    if isinstance(boosted, BinaryModel):
+        boosted.model.write().overwrite().save(f"{path}/model")
     else:
-        meta["classes"] = model.classes
-        for c, m in model.members.items():
+        meta["classes"] = boosted.classes
+        for c, m in boosted.members.items():
             m.write().overwrite().save(f"{path}/class_{c}")
-    spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(
-        f"{path}/meta")
+    if isinstance(model, Ensemble):
+        model.forest.write().overwrite().save(f"{path}/forest")
+        model.linear.write().overwrite().save(f"{path}/linear")
     if dictionary is not None:
         dictionary.write.mode("overwrite").parquet(f"{path}/dictionary")
     for name, table in (statistics or {}).items():
         table.write.mode("overwrite").parquet(f"{path}/statistics/{name}")
+    # last, so that a bundle with its meta file is complete
+    spark.createDataFrame([(json.dumps(meta),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
 
 
 def load_statistics(spark: SparkSession, path: str) -> dict[str, DataFrame] | None:
@@ -439,22 +493,25 @@ def load_statistics(spark: SparkSession, path: str) -> dict[str, DataFrame] | No
     return {n: spark.read.parquet(f"{path}/statistics/{n}") for n in ("user", "item")}
 
 
-def load_bundle(spark: SparkSession, path: str) -> tuple[BinaryModel | MultiClassModel, DataFrame | None]:
+def load_bundle(spark: SparkSession, path: str) -> tuple[BinaryModel | MultiClassModel | Ensemble, DataFrame | None]:
     meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
     dictionary = spark.read.parquet(f"{path}/dictionary") if path_exists(spark, f"{path}/dictionary") else None
     if meta["kind"] == "binary":
         return BinaryModel(GBTClassificationModel.load(f"{path}/model"), meta["features"],
                            meta["best_iteration"], path), dictionary
     members = {c: GBTClassificationModel.load(f"{path}/class_{c}") for c in meta["classes"]}
-    return MultiClassModel(members, meta["features"], meta["best_iteration"], path), dictionary
-
-
-def load_scoring_model(spark: SparkSession, multiclass_path: str, binary_path: str):
-    """The five-class bundle when it exists, else the binary one (the reference's fallback)."""
-    if path_exists(spark, f"{multiclass_path}/meta"):
-        return load_bundle(spark, multiclass_path)
-    if path_exists(spark, f"{binary_path}/meta"):
-        return load_bundle(spark, binary_path)
+    boosted = MultiClassModel(members, meta["features"], meta["best_iteration"], path)
+    if meta["kind"] == "multiclass":
+        return boosted, dictionary
+    return Ensemble(boosted, RandomForestClassificationModel.load(f"{path}/forest"),
+                    LogisticRegressionModel.load(f"{path}/linear"), meta["features"]), dictionary
+
+
+def scoring_bundle(spark: SparkSession, multiclass_path: str, binary_path: str) -> str:
+    """The five-class bundle's path when it exists, else the binary one's (the reference's fallback)."""
+    for path in (multiclass_path, binary_path):
+        if path_exists(spark, f"{path}/meta"):
+            return path
     raise FileNotFoundError(f"neither {multiclass_path} nor {binary_path} holds a model")
 
 

@@ -41,3 +41,32 @@ def test_group_edges(spark):
     assert r[2].user_shop_ratio == 0.0  # 0 / 0 -> NULL -> 0
     assert r[4].user_item_ratio == 0.0  # NULL user key: no statistics
     assert r[2].user_item_ratio == 1.0
+
+
+def test_hot_key_join_back_is_split(spark):
+    """Half of the rows on one user: the final plan of both join-backs splits the skewed partition."""
+    from pyspark.sql import functions as F
+
+    from shopflow.operators import stats
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        i = F.col("id")
+        df = spark.range(200000).select(
+            i.alias("row_id"), F.when(i % 2 == 0, F.lit("hot")).otherwise(F.concat(F.lit("u"), i % 5000)).alias("user_log_acct"),
+            (i % 999).alias("item_sku_id"), (i % 5).cast("int").alias("action_type"), (i % 10).alias("shop_id"),
+            (i % 7).cast("string").alias("brand_code"), (i % 3).cast("string").alias("item_third_cate_cd"),
+            (i % 24).cast("int").alias("hour"))
+        for attach in (stats.attach_base_stats, stats.attach_rich_stats):
+            out = attach(df)
+            total = out.select(F.count(F.lit(1)), F.sum(F.hash(*out.columns)))
+            assert total.collect()[0][0] == 200000
+            assert "skew=true" in str(total._jdf.queryExecution().executedPlan())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -80,3 +80,14 @@ def test_hot_key_spreads_over_blocks(spark):
     per_block = tagged.where(F.col("user") == "hot").groupBy("_blk").count().collect()
     assert len(per_block) >= 3  # the hot key is not in one task
     assert max(r["count"] for r in per_block) <= 10000 * 0.6
+
+
+def test_split_keeps_null_strata_and_null_ids(spark):
+    df = spark.range(1000).select(
+        F.when(F.col("id") % 10 != 0, F.col("id")).alias("row_id"),
+        F.when(F.col("id") % 7 != 3, (F.col("id") % 2).cast("int")).alias("target"), F.col("id").alias("v"))
+    out = stratified_split(df).toPandas()
+    assert len(out) == 1000 and sorted(out["v"]) == list(range(1000)) and out["split"].notna().all()
+    assert out["split"].value_counts().to_dict() == {"train": 700, "test": 150, "val": 150}
+    again = stratified_split(df.repartition(5)).toPandas()
+    assert out.set_index("v")["split"].to_dict() == again.set_index("v")["split"].to_dict()
