@@ -6,7 +6,8 @@ of the same key" we instead:
 
 1. range-partition on the full ordering (so a hot key is spread over many blocks),
 2. sort each block and tag rows with ``_blk`` (block number) and ``_seq`` (position in the block),
-3. checkpoint, so the tags stay fixed if a task is re-run or an executor is lost,
+3. write the tagged rows as a Parquet table in the shared folder, so the tags stay fixed if a task is
+   re-run or an executor is lost, and later scans read only the columns they need,
 4. combine per-block totals (one row per block, broadcast) into offsets.
 
 The ordering columns must identify a row uniquely within a group, so the result is
@@ -20,19 +21,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
+from ..session import scratch_path
 
 BLK, SEQ = "_blk", "_seq"
 
 
 def range_blocks(df: DataFrame, order_cols: Sequence[str], num_blocks: int | None = None) -> DataFrame:
-    """Range-partitioned, block-sorted copy of ``df`` tagged with ``_blk`` and ``_seq`` (checkpointed).
+    """Range-partitioned, block-sorted copy of ``df`` tagged with ``_blk`` and ``_seq``, as a written table.
 
     Without ``num_blocks`` the range exchange is left to AQE, which merges small
     neighbouring ranges (order is kept: merged blocks stay contiguous), so the block
-    count follows the data size; tags are taken after that, inside the checkpointed stage.
+    count follows the data size; tags are taken after that, inside the writing stage.
     """
-    checkpoint_root(df.sparkSession)
     pid = F.spark_partition_id()
     parted = (df.repartitionByRange(num_blocks, *order_cols) if num_blocks
               else df.repartitionByRange(*order_cols))
@@ -40,7 +40,9 @@ def range_blocks(df: DataFrame, order_cols: Sequence[str], num_blocks: int | Non
               .sortWithinPartitions(*order_cols)
               .withColumn(BLK, pid)
               .withColumn(SEQ, F.monotonically_increasing_id() - pid.cast("long") * F.lit(1 << 33)))
-    return tagged.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "range-blocks")
+    tagged.write.parquet(path)
+    return df.sparkSession.read.schema(tagged.schema).parquet(path)
 
 
 def _exclusive_running(df: DataFrame, order: str | list, cols: dict[str, Column]) -> DataFrame:

@@ -133,15 +133,18 @@ def attach_base_stats(df: DataFrame) -> DataFrame:
     return attach(attach(df, user_stats(df), "user_log_acct"), item_stats(df), "item_sku_id")
 
 
-def attach_rich_stats(df: DataFrame, skipped: list[str] | None = None, ratio_inputs: bool = False) -> DataFrame:
+def attach_rich_stats(df: DataFrame, skipped: list[str] | None = None, ratio_inputs: bool = False,
+                      source: DataFrame | None = None) -> DataFrame:
     """User, item and shop families in that order; a family whose columns are absent is skipped.
 
+    ``source`` (the same rows before columns were added) is aggregated instead of ``df`` if given.
+
     ``ratio_inputs`` also attaches the hidden ``_``-prefixed ratio inputs (``ratio_features`` drops them).
     """
-    out = df
+    out, log = df, df if source is None else source
     for key in ("user_log_acct", "item_sku_id", "shop_id"):
-        if family_available(out, key):
-            out = attach(out, rich_stats(out, key, ratio_inputs), key)
+        if family_available(log, key):
+            out = attach(out, rich_stats(log, key, ratio_inputs), key)
         elif skipped is not None:
             skipped.append(key)
     return out

@@ -92,13 +92,14 @@ def rich_features(df: DataFrame, order_by=DEFAULT_ORDER, skipped: list[str] | No
         out = out.withColumn("is_weekend", weekend_flag("dayofweek"))
     if "hour" in out.columns:
         out = out.withColumn("hour_category", hour_bucket("hour"))
-    # Sequence features depend only on user, hour and time: computing them before the
-    # statistic joins keeps their range blocks (checkpoint + block window) narrow.
+    # Sequence features come before the statistic joins, which keeps their range blocks narrow; the
+    # statistics are aggregated from the log itself, so their scans do not touch the blocks.
+    log = out
     if all(c in out.columns for c in ("user_log_acct", "hour", "action_time")):
         out = sequence_features(out, order_by=order_by)
     elif skipped is not None:
         skipped.append("sequence")
-    out = attach_rich_stats(out, skipped, ratio_inputs=True)
+    out = attach_rich_stats(out, skipped, ratio_inputs=True, source=log)
     out = ratio_features(out)
     return fill_missing_zero(out)
 

@@ -339,7 +339,8 @@ def q_base_features(spark, sf):
 
 # ---------------------------------------------------------------- E: windows
 def _seq(spark, sf):
-    return sequence_features(_with_hour(spark, sf))
+    # only the columns the differences need go into the range blocks
+    return sequence_features(_with_hour(spark, sf).select("row_id", "user_log_acct", "action_time", "hour"))
 
 
 def q_hour_diff(spark, sf):

@@ -41,7 +41,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         conf_dir = os.path.join("/tmp", "shopflow-checkpoints")
     sc.setCheckpointDir(conf_dir)
