@@ -68,8 +68,8 @@ def id_counts(encoded_docs: DataFrame, dtype: str) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for ids in batch.column(0).to_pylist():
-                seen = np.bincount(np.frombuffer(ids, dtype=dtype), minlength=len(total))
+            for rows in _slices(batch, 0):  # the ids of many documents at once
+                seen = np.bincount(np.frombuffer(b"".join(rows.column(0).to_pylist()), dtype=dtype), minlength=len(total))
                 seen[: len(total)] += total
                 total = seen
         used = np.flatnonzero(total)
