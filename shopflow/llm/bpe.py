@@ -2,9 +2,10 @@
 
 Ids are those of ``encode(text, add_special_tokens=False)`` of the tokenizers library for the whole text.
 
-Short texts: ASCII white space always separates tokens of a white-space dropping vocabulary, so a
-text is encoded run by run, and each worker remembers the ids of runs it has met (a bounded
-dictionary, emptied when full).  For other vocabularies the text is encoded as one run.
+Short texts: where the vocabulary's pre-tokenizer drops white space (pattern ``DROP_WHITE``), ASCII white
+space always separates tokens, so a text is encoded run by run, and each worker remembers the ids of
+runs it has met (a bounded dictionary, emptied when full).  For other vocabularies the text is
+encoded as one run.
 
 Long texts (over ``leaf_chars`` characters) are cut into leaves at fixed character positions, also in the
 middle of unsplit text.  Leaves are rows of their own: all are encoded in parallel, whatever
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,11 +41,14 @@ from .common import ship_package, text_or_empty, written
 from .token_files import _slices
 from .tokens import load_tokenizer
 
-LEAF_CHARS = 1 << 15
+LEAF_CHARS = 1 << 16
 AGREE = 8
 FIRST_WINDOW = 64
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 LONGEST_RUN = 64
+# fixed value: the pre-token pattern that drops white space and parts letters, digits and signs
+DROP_WHITE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SIGN = re.compile(rb"(?<=[A-Za-z0-9])([.,])")
 
 
 class RunEncoder:
@@ -53,12 +58,12 @@ class RunEncoder:
         self.tokenizer = load_tokenizer(path)
         with open(path, encoding="utf-8") as f:
             config = json.load(f)
-        # white space is dropped if a splitter removes all but the matches of classes without it
         steps = (config.get("pre_tokenizer") or {}).get("pretokenizers") or []
+        self.specials = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.by_run = any(s.get("type") == "Split" and s.get("behavior") == "Removed" and s.get("invert")
-                          and "[^\\s" in json.dumps(s.get("pattern"), ensure_ascii=False).replace("\\\\", "\\")
-                          for s in steps) and not any(t.content != t.content.strip() or " " in t.content or t.lstrip or t.rstrip
-                                                      for t in self.tokenizer.get_added_tokens_decoder().values())
+                          and s.get("pattern") == {"Regex": DROP_WHITE} for s in steps)
+        normal = config.get("normalizer") or {}
+        self.lowers = any(n.get("type") == "Lowercase" for n in normal.get("normalizers", [normal]))
         self.known: dict[bytes, bytes] = {}
         self.joined = config.get("decoder") is None
         vocabulary = self.tokenizer.get_vocab()
@@ -70,20 +75,39 @@ class RunEncoder:
         return [np.asarray(e.ids, dtype="<u4").tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def runs(self, text: bytes) -> list[bytes]:
+        """The text's runs between ASCII white space, in a form that many texts share: what the tokenizer
+        would lower anyway is lowered, and a full stop or comma after a letter or digit, which begins a
+        token of its own, is a run of its own.  Texts with a special token's string are left alone."""
+        low = text.lower()  # on bytes: A-Z only
+        if any(s in low for s in self.specials):
+            return text.split()
+        return SIGN.sub(rb" \1", low if self.lowers else text).split()
+
+    def _new_runs(self, runs: list[bytes]) -> dict[bytes, bytes]:
+        """ids of runs; plain ASCII ones are encoded as one text and cut at their characters."""
+        plain = [r for r in runs if r.isascii()]
+        other = [r for r in runs if not r.isascii()]
+        found = dict(zip(other, self.packed([r.decode() for r in other]), strict=True))
+        if plain:
+            ids, spans = self.spans(b" ".join(plain).decode())
+            starts = np.cumsum([0] + [len(r) + 1 for r in plain[:-1]])
+            cut = (np.searchsorted(spans[:, 0], starts) * 4).tolist()
+            raw = ids.astype("<u4").tobytes()
+            found |= {r: raw[i:j] for r, i, j in zip(plain, cut, [*cut[1:], len(raw)], strict=True)}
+        return found
+
     def encode_all(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_run:
             return self.packed([t.decode() for t in texts])
-        runs = [t.split() for t in texts]  # on bytes: the six ASCII white-space characters
+        runs = [self.runs(t) for t in texts]
         wanted = set().union(*runs) if runs else set()
-        if len(self.known) + len(wanted) > REMEMBERED:
-            self.known.clear()
-        new = [w for w in wanted if w not in self.known]
-        found = dict(zip(new, self.packed([w.decode() for w in new]), strict=True))
         known = self.known
-        known.update(found)
-        out = [b"".join(map(known.__getitem__, own)) for own in runs]
         if len(known) > REMEMBERED:
             known.clear()
+        new = [w for w in wanted if w not in known]
+        known.update(self._new_runs(new))
+        out = [b"".join(map(known.__getitem__, own)) for own in runs]
         for w in new:
             if len(w) > LONGEST_RUN:
                 known.pop(w, None)
@@ -180,7 +204,7 @@ def encode(docs: DataFrame, tokenizer_path: str, leaf_chars: int = LEAF_CHARS) -
                 ids, spans = encoder.spans(part)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([key]), pa.array([doc_id], pa.int64()), pa.array([start], pa.int64()), pa.array([part]),
-                     pa.array([ids.astype("<u4").tobytes()]), pa.array([(spans + start).astype("<i8").tobytes()])],
+                     pa.array([ids.astype("<u4").tobytes()]), pa.array([(spans + start).astype("<i4").tobytes()])],
                     ["key", "doc_id", "start", "part", "ids", "spans"])
 
     def tree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +213,7 @@ def encode(docs: DataFrame, tokenizer_path: str, leaf_chars: int = LEAF_CHARS) -
         def done(doc_id: int | None, held: list[tuple]) -> pa.RecordBatch:
             whole = "".join(h[1] for h in held)
             leaves = [Node(start, start + len(part), np.frombuffer(ids, dtype="<u4"),
-                           np.frombuffer(spans, dtype="<i8").reshape(-1, 2)) for start, part, ids, spans in held]
+                           np.frombuffer(spans, dtype="<i4").reshape(-1, 2)) for start, part, ids, spans in held]
             packed = join_all(encoder, whole, leaves).ids.astype("<u4").tobytes()
             return pa.RecordBatch.from_arrays(
                 [pa.array([doc_id], pa.int64()), pa.array([packed], pa.binary()), pa.array([encoder.decode(packed)])],
