@@ -68,13 +68,13 @@ def permuted(x: Column, n: int, seed: int) -> Column:
 
 def shard_rows(docs: DataFrame, shards: int = 8, seed: int = 7) -> DataFrame:
     """doc_id, size, text_crc32, row_number, shard and slot of every row of ``docs``."""
+    # _row only spreads rows that are equal in every other column
     narrow = written(docs.select(F.col("doc_id").alias("doc_id"),
                                  (F.octet_length(text_bytes()) + F.lit(1)).cast("long").alias("size"),
-                                 F.crc32(text_bytes()).alias("text_crc32")), "shard-rows")
+                                 F.crc32(text_bytes()).alias("text_crc32"),
+                                 F.monotonically_increasing_id().alias("_row")), "shard-rows")
     n = narrow.count()
-    # the place in the written table only spreads rows that are equal in every column
-    placed = narrow.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    numbered = positions(placed, ["doc_id", "text_crc32", "size", "_file", "_row"], pos_col="_pos")
+    numbered = positions(narrow, ["doc_id", "text_crc32", "size", "_row"], pos_col="_pos")
     p = permuted(F.col("_pos") - 1, n, seed)
     return (numbered.withColumn("_p", p)
             .select("doc_id", "size", "text_crc32", (F.col("_pos") - 1).alias("row_number"),
