@@ -143,7 +143,7 @@ def q_early_stopping(spark, sf):
     rows = [("kept_round_is_best", m.curve[best - 1] == max(m.curve) and best == m.curve.index(max(m.curve)) + 1),
             ("stopped_by_patience", m.stop_round - best == p.patience or m.stop_round == p.max_iter),
             ("model_has_kept_rounds", m.model.getNumTrees == best),
-            ("fitted_at_most_twice_the_stop", m.fitted_rounds <= max(2 * m.stop_round, p.patience + p.patience // 4))]
+            ("fitted_at_most_twice_the_stop", m.fitted_rounds <= max(2 * m.stop_round, 2 * p.patience))]
     return spark.createDataFrame(rows, "rule string, holds boolean")
 
 

@@ -5,7 +5,7 @@
   concurrently from a small driver thread pool; class probabilities are the
   members' positive probabilities divided by their sum.
 * Patience: boosting is sequential, so a run of fewer rounds gives a prefix of the trees of a
-  longer one.  A little over the patience is fitted first and doubled until the rule stops, so the
+  longer one.  Twice the patience is fitted first and doubled until the rule stops, so the
   cost follows the stopping round and not ``max_iter``; the kept model is the run of the best round.
 * Resume: every member is saved as its fit ends, with a marker written last that names its
   parameters, features, label and data; a member is loaded only if the marker says the same.
@@ -223,8 +223,8 @@ class BinaryModel:
 
 
 def _rounds_until_stop(params: BoostParams, fit, curve_of, every: int = 1) -> tuple[object, int, list[float], int]:
-    """(model, rounds fitted, curve, best round): a little over the patience first, doubled until the rule stops."""
-    rounds = min(params.max_iter, max(params.patience + params.patience // 4, 1))
+    """(model, rounds fitted, curve, best round): twice the patience first, doubled until the rule stops."""
+    rounds = min(params.max_iter, max(2 * params.patience, 1))
     while True:
         model = fit(rounds)
         curve, best = curve_of(model, rounds)

@@ -147,7 +147,7 @@ def test_rounds_double_until_the_rule_stops():
         return c, best
 
     model, n, seen, best = T._rounds_until_stop(params, lambda r: fits.append(r) or r, curve_of)
-    assert fits == [10, 20, 40] and n == 40 and best == 30 and len(seen) == 38
+    assert fits == [16, 32, 64] and n == 64 and best == 30 and len(seen) == 38
 
 
 def test_resume_loads_only_the_same_fit(spark, small):
