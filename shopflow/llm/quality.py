@@ -123,7 +123,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, fold_of: int, held_
     chosen = (labels.select(F.col("doc_id").alias("doc_id"), F.col(label).cast("int").alias("y"))
               .where(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), fold_of) != held_out))
               .orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(rows))
-    return docs.select(F.col("doc_id").alias("doc_id"), text_or_empty().alias("text")).join(chosen, "doc_id")
+    # at most ``rows`` ids: small enough to send to every task, so no text is shuffled
+    return docs.select(F.col("doc_id").alias("doc_id"), text_or_empty().alias("text")).join(F.broadcast(chosen), "doc_id")
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", fold_of: int = 4, held_out: int = 2,
