@@ -226,3 +226,19 @@ def test_partition_never_separates_linked_vectors():
     inside = home < part.n_balls
     same_ball = (home[:, None] == home[None, :]) & inside[:, None]
     assert linked[same_ball].all()
+
+
+@pytest.mark.parametrize("name", ["op1_embedding_near_dedup", "op5_exact_dedup"])
+def test_queries_equal_their_statements(spark, name):
+    import duckdb
+
+    from shopflow.llm import queries
+
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"create view {t} as select * from read_parquet('{SF_SMALL}/{t}.parquet')")
+    df = queries.all_queries()[name](spark, SF_SMALL)
+    got = con.execute(queries.statements()[name])
+    columns = [d[0] for d in got.description]
+    assert sorted(columns) == sorted(df.columns)
+    assert sorted(tuple(r) for r in df.select(*columns).collect()) == sorted(got.fetchall())
