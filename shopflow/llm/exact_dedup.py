@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .common import collapsed_white, text_or_empty, written
 
+SALT_ROWS = 500
+
 STATE_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -114,14 +116,19 @@ def exact_dedup(spark: SparkSession, path: str, checkpoint: str | None = None,
         "dedup-hits")
     single = hits.where(F.col("n").isNull())
     several = hits.where(F.col("n").isNotNull())
-    firsts = several.where("is_first").select("digest", F.col("norm").alias("first_norm"))
-    compared = several.join(firsts, "digest").select(
-        "doc_id", "locator", "digest", "n", "first",
+    # a digest's rows are dealt over n / SALT_ROWS keys, with a copy of the first text for each
+    salts = F.ceil(F.col("n") / F.lit(SALT_ROWS)).cast("int")
+    every_salt = F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt")
+    firsts = several.where("is_first").select("digest", F.col("norm").alias("first_norm"), every_salt)
+    salted = several.withColumn("salt", F.pmod(F.xxhash64("locator"), salts).cast("int"))
+    compared = salted.join(firsts, ["digest", "salt"]).select(
+        "doc_id", "locator", "digest", "salt", "n", "first",
         F.when(F.col("norm") != F.col("first_norm"), F.col("norm")).alias("other_norm"))
     compared = written(compared, "dedup-compared")
     others = compared.where(F.col("other_norm").isNotNull())
-    other_counts = others.groupBy("digest").agg(F.count(F.lit(1)).alias("n_other"))
-    same = (compared.where(F.col("other_norm").isNull()).join(other_counts, "digest", "left")
+    other_counts = (others.groupBy("digest").agg(F.count(F.lit(1)).alias("n_other"), F.max("n").alias("n"))
+                    .select("digest", "n_other", every_salt))
+    same = (compared.where(F.col("other_norm").isNull()).join(other_counts, ["digest", "salt"], "left")
             .select("doc_id", "locator", "digest", F.col("first.doc_id").alias("keep_id"),
                     (F.col("n") - F.coalesce(F.col("n_other"), F.lit(0))).alias("group_size"),
                     (F.col("first.locator") == F.col("locator")).alias("kept")))
