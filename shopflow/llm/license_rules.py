@@ -183,7 +183,7 @@ osl-3.0 | 2 | open | open software license (?:version |v )?(?:3 0|v3 0)
 afl-3.0 | 2 | academic | academic free license (?:version |v )?(?:3 0|v3 0)
 afl-2.1 | 2 | academic | academic free license (?:version |v )?(?:2 1|v2 1)
 bsl-1.0 | 2 | boost | boost software license(?: version| v)? 1 0
-bsl-1.0 | 2 | licenses | www boost org licenses? 1 0 txt
+bsl-1.0 | 2 | boost | www boost org licenses? 1 0 txt
 artistic-2.0 | 2 | artistic | artistic license (?:version |v )?(?:2 0|v2 0|2)
 artistic-1.0 | 2 | artistic | artistic license (?:version |v )?(?:1 0|v1 0)
 python-2.0 | 2 | python | python (?:software foundation )?license (?:version |v )?2(?: 0)?

@@ -86,6 +86,10 @@ def _detections(tokens: Column, hits: Column, rules: Sequence[Rule]) -> Column:
     return let(numbered, search)
 
 
+def _item(i: int) -> Callable[[Column], Column]:
+    return lambda x: x[i]
+
+
 def _unsuppressed(spans: Column) -> Column:
     """The sorted spans that lie in no earlier span of their level or a stronger one."""
 
@@ -101,7 +105,7 @@ def _unsuppressed(spans: Column) -> Column:
 
     def sift(t: Column) -> Column:
         def one(c: Column) -> Column:
-            before = F.array(*[F.array_max(F.transform(F.slice(t, F.lit(1), c), lambda x, p=p: x[p - 1])) for p in LEVELS])
+            before = F.array(*[F.array_max(F.transform(F.slice(t, F.lit(1), c), _item(i))) for i in range(len(LEVELS))])
             return let(before, lambda carry: let(block(c), lambda s: F.filter(s, lambda x, i: ~F.coalesce(
                 F.greatest(F.element_at(carry, x["level"]), top(F.slice(s, F.lit(1), i), x["level"])) >= -x["minus_last"],
                 F.lit(False)))))
