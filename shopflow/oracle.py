@@ -378,6 +378,10 @@ def statements() -> dict[str, str]:
     B = BASE
     q["load_behavior"] = B + "select * from behavior"
     messy_time = r"try_strptime(regexp_replace(t.action_time, '\.0$', ''), '%Y-%m-%d %H:%M:%S')"
+    q["load_behavior_quoted"] = B + """select * replace (
+  case row_id % 7 when 0 then 'He said "hi", ok ' || brand_code when 1 then 'two' || chr(10) || 'lines'
+    when 2 then 'one' || chr(13) || chr(10) || 'two,' || chr(10) || chr(10) || '"three"' when 3 then '"' else brand_code end as brand_code,
+  case row_id % 7 when 4 then '5" ' || city when 5 then city || ' "x"' || chr(10) else city end as city) from behavior"""
     q["load_behavior_messy"] = with_(K_CTE, BEHAVIOR_CTE, behavior_text_cte()) + f"""select t.* replace (
   {messy_time} as action_time, cast(null as bigint) as vender_id) from behavior_text t"""
     q["file_order_ids"] = B + "select row_number() over () - 1 as row_id from behavior"

@@ -24,7 +24,7 @@ from .operators.split import split_report, stratified_split
 from .operators.windows import sequence_features
 from .plans import features as P
 from .plans.score import request_backfill
-from .schema import CATEGORICALS, NUM_CLASSES, RICH_CATEGORICALS
+from .schema import BEHAVIOR_SCHEMA, CATEGORICALS, NUM_CLASSES, RICH_CATEGORICALS
 from .session import scratch_path
 from .sources import fixtures as FX
 from .sources import io
@@ -98,6 +98,21 @@ def q_load_behavior_messy(spark, sf):
     return log.withColumn("action_time", parse_time_coerce(clean_time_text("action_time")))
 
 
+def q_load_behavior_quoted(spark, sf):
+    """A log without ids whose brands and cities hold quotes, commas and line ends, written to several files."""
+    b = _behavior(spark, sf)
+    n = F.col("row_id") % 7
+    brand = (F.when(n == 0, F.concat(F.lit('He said "hi", ok '), F.col("brand_code"))).when(n == 1, F.lit("two\nlines"))
+             .when(n == 2, F.lit("one\r\ntwo,\n\n\"three\"")).when(n == 3, F.lit('"')).otherwise(F.col("brand_code")))
+    city = F.when(n == 4, F.concat(F.lit('5" '), F.col("city"))).when(n == 5, F.concat(F.col("city"), F.lit(' "x"\n'))).otherwise(F.col("city"))
+    log = b.withColumns({"brand_code": brand, "city": city, "sku_copy": F.col("row_id")}).drop("row_id")
+    path = scratch_path(spark, "behavior-quoted")
+    io.write_table(log.repartition(3), path, fmt="csv")
+    wide = T.StructType([*BEHAVIOR_SCHEMA.fields, T.StructField("sku_copy", T.LongType())])
+    back = io.load_behavior(spark, path, fmt="csv", schema=wide, strict=True)
+    return back.drop("row_id").withColumnRenamed("sku_copy", "row_id")
+
+
 def q_file_order_ids(spark, sf):
     """A log without ids, numbered in file order: the ids are 0..n-1, each once."""
     path = scratch_path(spark, "behavior-no-id")

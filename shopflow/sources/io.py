@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import BEHAVIOR_SCHEMA
+from . import quoted_csv
 
-CSV_OPTIONS = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]"}
+# a quote inside a quoted cell is written twice; white space belongs to its cell
+QUOTING = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+CSV_OPTIONS = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]", **QUOTING}
+BAD_RECORD = "_bad_record"
 
 
 def _parsed(name: str, dtype: T.DataType, strict: bool) -> Column:
@@ -53,22 +57,22 @@ def _file_order_id(df: DataFrame) -> DataFrame:
 
 
 def load_behavior(spark: SparkSession, path: str, fmt: str = "csv", schema=BEHAVIOR_SCHEMA,
-                  row_id: str = "auto", strict: bool = False, time_text: bool = False) -> DataFrame:
+                  row_id: str = "auto", strict: bool = False, time_text: bool = False, multiline: bool | None = None) -> DataFrame:
     """Read a behaviour log by column name: any column order, extra columns ignored, missing ones NULL.
 
     CSV cells are read as text and parsed per column (``1.0`` is a whole number); unparsable cells
-    become NULL, or fail the job with ``strict`` (``bad_cells`` counts them).  ``time_text`` leaves
-    ``action_time`` as text for ``prepare_time`` to parse leniently or strictly.  Logs without
-    ``row_id`` (or with ``row_id='assign'``) are numbered in file order; such a log must have one
-    header per file, the same in all.
+    become NULL, or fail the job with ``strict`` (``bad_cells`` counts them), and so do records with too few or
+    too many cells (lenient: missing cells are NULL, surplus ones ignored).  Quoted cells may hold
+    commas, doubled quotes and line feeds; one pass over the files finds out whether any record takes several
+    lines, unless ``multiline`` says so.  ``time_text`` leaves ``action_time`` as text for
+    ``prepare_time`` to parse leniently or strictly.  Logs without ``row_id`` (or with
+    ``row_id='assign'``) are numbered in file order; such a log must have one header per file, the same in all.
     """
     names = [f.name for f in schema.fields]
     if fmt == "csv":
-        df = _csv_text(spark, path)
-        have = set(df.columns)
+        have = set(_csv_names(spark, path))
         assign = "row_id" in names and (row_id == "assign" or "row_id" not in have)
-        if assign:
-            df = _file_order_id(df.drop("row_id"))
+        df = _csv_text(spark, path, strict, multiline, number=assign)
         cols = []
         for f in schema.fields:
             if f.name == "row_id" and assign:
@@ -89,19 +93,51 @@ def load_behavior(spark: SparkSession, path: str, fmt: str = "csv", schema=BEHAV
                        else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def _csv_text(spark: SparkSession, path: str) -> DataFrame:
-    """All columns as text, named by the header (trimmed); files whose headers differ fail the job."""
-    df = spark.read.option("header", "true").option("enforceSchema", "false").csv(path)
+def _csv_names(spark: SparkSession, path: str) -> list[str]:
+    """The columns of a CSV log: its header's (trimmed), then those of its folder names."""
+    return [c.strip() for c in spark.read.options(header="true", **QUOTING).csv(path).columns]
+
+
+def _csv_text(spark: SparkSession, path: str, strict: bool = False, multiline: bool | None = None, number: bool = False,
+              keep_bad: bool = False) -> DataFrame:
+    """All columns as text, named by the header (trimmed); files whose headers differ fail the job.
+
+    ``strict`` fails on records with too few or too many cells; ``keep_bad`` adds their text as a column.
+    ``number`` adds (or replaces) ``row_id``: 0, 1, ... in (file, place in the file) order.
+    """
+    folders = quoted_csv.partition_columns(spark, path)
+    header = spark.read.options(header="true", **QUOTING).csv(path).columns
+    header = header[: len(header) - len(folders)]
+    if multiline is None:
+        multiline = quoted_csv.has_open_lines(spark, path)
+    if multiline:
+        df = quoted_csv.parsed_records(spark, path, header, BAD_RECORD, QUOTING, "_number" if number else None)
+    else:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, BAD_RECORD]])
+        # a record's cells can only be counted when all are parsed
+        df = spark.read.schema(schema).options(header="true", enforceSchema="false", columnNameOfCorruptRecord=BAD_RECORD,
+                                               columnPruning=str(not (strict or keep_bad)).lower(), **QUOTING).csv(path)
+        if number:
+            df = _file_order_id(df.drop("row_id")).withColumnRenamed("row_id", "_number")
+    if strict:
+        text = F.concat(F.lit("wrong number of cells: "), F.col(BAD_RECORD))
+        df = df.where(F.when(F.col(BAD_RECORD).isNotNull(), F.raise_error(text).cast("boolean")).otherwise(True))
+    if number:
+        df = df.drop("row_id").withColumnRenamed("_number", "row_id")
+    if not keep_bad:
+        df = df.drop(BAD_RECORD)
     return df.withColumnsRenamed({c: c.strip() for c in df.columns if c != c.strip()})
 
 
-def bad_cells(spark: SparkSession, path: str, schema=BEHAVIOR_SCHEMA) -> DataFrame:
-    """(column, bad): cells of a CSV log that hold text but do not parse as the column's type."""
-    df = _csv_text(spark, path)
+def bad_cells(spark: SparkSession, path: str, schema=BEHAVIOR_SCHEMA, multiline: bool | None = None) -> DataFrame:
+    """(column, bad): cells of a CSV log that hold text but do not parse as the column's type; if there are records
+    with too few or too many cells, their number under the name ``_bad_record``."""
+    df = _csv_text(spark, path, multiline=multiline, keep_bad=True)
     typed = [f for f in schema.fields if f.name in df.columns and not isinstance(f.dataType, T.StringType)]
     counts = df.agg(*[F.count_if((F.trim(F.col(f"`{f.name}`")) != "") & _parsed(f.name, f.dataType, False).isNull())
-                      .alias(f.name) for f in typed])
-    return counts.unpivot([], [f.name for f in typed], "column", "bad")
+                      .alias(f.name) for f in typed], F.count(BAD_RECORD).alias(BAD_RECORD))
+    every = counts.unpivot([], [*[f.name for f in typed], BAD_RECORD], "column", "bad")
+    return every.where((F.col("column") != BAD_RECORD) | (F.col("bad") > 0))
 
 
 def head_n(df: DataFrame, n: int, order_col: str = "row_id") -> DataFrame:
@@ -135,7 +171,7 @@ SPLIT_SCHEMA = T.StructType([*BEHAVIOR_SCHEMA.fields, *[T.StructField(c, T.Integ
 def read_splits(spark: SparkSession, path: str, fmt: str = "parquet", schema=SPLIT_SCHEMA) -> DataFrame:
     """A split dataset; CSV is read with the declared ``schema`` (no inference pass), by name."""
     if fmt == "csv":
-        df = _csv_text(spark, path)
+        df = _csv_text(spark, path, strict=True)
         return df.select(*[F.col(f.name).cast("string").alias(f.name) if isinstance(f.dataType, T.StringType)
                            else _parsed(f.name, f.dataType, True).alias(f.name)
                            for f in schema.fields if f.name in df.columns])
