@@ -356,6 +356,21 @@ def _learned(split: str) -> dict[str, str]:
     return {
         "train_binary": per("target", "val", "rows in_range consistent"),
         "train_multiclass": per("label", "val", "rows sums_to_one consistent"),
+        "train_joint": split + "select row_id, cast(action_type - 1 as integer) as label, cast(0 as double) as gradient_sum, "
+                               "true as one_positive, true as consistent from split where split in ('train', 'val')",
+        # class weights and the weighted class shares p give the first round's sums: sum of w (y - p) = 0, of w p (1 - p)
+        "joint_leaf_values": split + """, per as (select cast(action_type - 1 as integer) as cls, count(*) as n from split
+  where split = 'train' group by cls),
+weighted as (select cls, n * sqrt(cast(sum(n) over () as double) / (count(*) over () * n)) *
+  (1 + ln(cast(sum(n) over () as double) / n)) as w, cast(sum(n) over () as bigint) as rows from per),
+shares as (select cls, rows, w / sum(w) over () as p, sum(w) over () as total from weighted)
+select cast(r as integer) as round, cls, rows, case when r = 1 then cast(0 as double) end as root_gradient,
+  case when r = 1 then round(total * p * (1 - p), 3) end as root_curvature, true as leaf_rule, true as children_add_up
+from shares, range(1, 4) t(r)""",
+        "joint_early_stopping": flags("rule", ["trees_fitted_are_rounds_run", "stopped_by_patience", "kept_round_is_best",
+                                               "model_has_kept_rounds"], "holds"),
+        "joint_resume": "select cast(r as integer) as round, cast(c as integer) as cls, true as same_tree "
+                        "from range(1, 6) t(r), range(5) u(c)",
         "train_ensemble_members": per("label", "val", "rows boosted forest linear voting sums_to_one"),
         "early_stopping": flags("rule", rules, "holds"),
         "learning_curve": curve(("auc", "binary_logloss")),

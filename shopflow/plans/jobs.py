@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fill import fill_missing_typed
 from ..functions.labels import argmax, binary_target, multiclass_label
-from ..operators.encode import fit_sorted_dictionary, label_encode_joint
+from ..operators.encode import dictionary_sizes, fit_sorted_dictionary, label_encode_joint
 from ..operators.metrics import evaluation_report, model_comparison, score_summary, split_metrics, stacked_models
 from ..operators.profile import row_weights
 from ..operators.split import split_report, stratified_split
@@ -22,6 +22,7 @@ from ..schema import CATEGORICALS, FEATURES, NUM_CLASSES, RICH_CATEGORICALS
 from ..sources import io
 from . import train as T
 from .features import base_features, base_statistics, prepare_time, rich_feature_matrix, rich_features
+from .joint import JointParams, fit_joint
 
 SPLITS = ("train", "test", "val")
 
@@ -56,13 +57,20 @@ def train_binary_job(spark: SparkSession, data_dir: str, model_dir: str, params:
 
 
 def train_multiclass_job(spark: SparkSession, data_dir: str, model_dir: str,
-                         params: T.BoostParams = T.MULTICLASS_PARAMS, frozen: bool = True, fmt: str = "parquet",
+                         params: T.BoostParams | None = None, frozen: bool = True, fmt: str = "parquet",
                          mode: str = "raise", resume: bool = False) -> DataFrame:
-    """Class-weighted one-vs-rest boosted trees; validation and test report.  Times must parse (``mode``);
+    """Class-weighted joint softmax boosting (``JointParams``, the default) or, with plain ``BoostParams``,
+    one-vs-rest boosted trees; validation and test report.  Times must parse (``mode``);
     ``resume`` continues an interrupted run of the same data and parameters."""
+    params = params or JointParams()
     feats, dictionary, stats = _split_features(spark, data_dir, frozen, ("row_id", "label"), fmt, mode)
-    model = T.fit_multiclass(row_weights(feats["train"]), feats["val"], FEATURES, params, num_classes=NUM_CLASSES,
-                             path=f"{model_dir}/work", resume=resume)
+    if isinstance(params, JointParams):
+        categories = dictionary_sizes(dictionary) if frozen else {}
+        model = fit_joint(row_weights(feats["train"]), feats["val"], FEATURES, params, num_classes=NUM_CLASSES,
+                          path=f"{model_dir}/work", resume=resume, categories=categories)
+    else:
+        model = T.fit_multiclass(row_weights(feats["train"]), feats["val"], FEATURES, params, num_classes=NUM_CLASSES,
+                                 path=f"{model_dir}/work", resume=resume)
     T.save_bundle(spark, model, f"{model_dir}/bundle", dictionary, stats)
     held_out = [model.transform(feats[n]).withColumn("split", F.lit(n)) for n in ("val", "test")]
     return split_metrics(held_out[0].unionByName(held_out[1]))

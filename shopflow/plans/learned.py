@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import labels as L
 from ..functions.fill import fill_missing_typed
 from ..functions.request import request_defaults
-from ..operators.encode import fit_first_seen_dictionary, fit_sorted_dictionary
+from ..operators.encode import dictionary_sizes, fit_first_seen_dictionary, fit_sorted_dictionary
 from ..operators.metrics import model_comparison, stacked_models
 from ..operators.profile import row_weights
 from ..operators.split import stratified_split
@@ -25,6 +25,7 @@ from ..schema import CATEGORICALS, FEATURES, NUM_CLASSES
 from ..session import scratch_path
 from ..sources import fixtures as FX
 from ..sources import io
+from . import joint as J
 from . import train as T
 from ..operators.encode import label_encode_joint
 from ..schema import RICH_CATEGORICALS
@@ -40,6 +41,9 @@ MULTICLASS_QUERY_PARAMS = T.BoostParams(step_size=0.1, max_depth=6, min_instance
                                         feature_fraction=0.7, max_iter=30, patience=10)
 # the resume check fits every member up to twice and only compares what was fitted and what was loaded
 RESUME_PARAMS = T.BoostParams(step_size=0.1, max_depth=3, min_instances_per_node=10, max_iter=5)
+JOINT_QUERY_PARAMS = J.JointParams(step_size=0.1, max_iter=30, patience=4, snapshot_every=5)
+JOINT_CHECK_PARAMS = J.JointParams(step_size=0.1, max_depth=4, max_iter=3, subsampling_rate=1.0)
+JOINT_RESUME_PARAMS = J.JointParams(step_size=0.1, max_depth=3, max_iter=5, snapshot_every=2)
 REQUEST_CLOCK = _dt.datetime(2024, 2, 1, 12, 0, 0)
 
 _CACHE: dict[tuple, object] = {}
@@ -265,6 +269,86 @@ def q_multiclass_feature_importance(spark, sf):
                              T.feature_importance(spark, paths, FEATURES, top_n=len(FEATURES)))
 
 
+def joint_model(spark: SparkSession, sf: str) -> J.JointModel:
+    def build():
+        s = splits(spark, sf)
+        f = s["features"]
+        return J.fit_joint(row_weights(f["train"]), f["val"], FEATURES, JOINT_QUERY_PARAMS, num_classes=NUM_CLASSES,
+                           categories=dictionary_sizes(s["dictionary"]))
+    return _cached(spark, sf, "joint", build)
+
+
+def q_train_joint(spark, sf):
+    """Every training and validation row: its softmax gradients (label indicator minus probability) sum to 0, are
+    positive for the row's own class only, and the prediction is the class of the greatest probability."""
+    m = joint_model(spark, sf)
+    f = splits(spark, sf)["features"]
+    out = f["train"].select("row_id", "label", *FEATURES).unionByName(f["val"].select("row_id", "label", *FEATURES))
+    out = m.transform(out)
+    slopes = F.transform("probabilities", lambda p, i: F.when(i == F.col("label"), 1 - p).otherwise(-p))
+    return out.select("row_id", "label", F.abs(F.round(F.aggregate(slopes, F.lit(0.0), lambda a, b: a + b), 6)).alias("gradient_sum"),
+                      (F.size(F.filter(slopes, lambda g: g > 0)) == 1).alias("one_positive"),
+                      (F.element_at("probabilities", F.col("prediction") + 1) == F.array_max("probabilities")).alias("consistent"))
+
+
+def q_joint_leaf_values(spark, sf):
+    """Per (round, class) of a short run on all rows: rows and, in the first round, the sums of gradient and curvature at
+    the root; whether children add up to their parents and every leaf's value follows from its sums."""
+    p = JOINT_CHECK_PARAMS
+    train = row_weights(splits(spark, sf)["features"]["train"])
+    m = J.fit_joint(train, None, FEATURES, p, num_classes=NUM_CLASSES)
+    nodes = m.nodes(spark)
+    shrunk = F.signum("g") * F.greatest(F.abs("g") - p.lambda_l1, F.lit(0.0))
+    rule = (F.col("leaf") < 0) | (F.abs(F.col("value") - p.step_size * shrunk / (F.col("h") + p.lambda_l2)) < 1e-9)
+    child = nodes.select(F.col("round").alias("_r"), F.col("cls").alias("_c"), F.col("id").alias("_i"), F.col("g").alias("_g"),
+                         F.col("rows").alias("_n"))
+    inner = nodes.where("leaf < 0").select("round", "cls", "g", "rows", F.explode(F.array("left", "right")).alias("_i"), "id")
+    sums = (inner.join(child, (F.col("round") == F.col("_r")) & (F.col("cls") == F.col("_c")) & (inner["_i"] == child["_i"]))
+            .groupBy("round", "cls", "id").agg(((F.abs(F.sum("_g") - F.max("g")) < 1e-6) & (F.sum("_n") == F.max("rows"))).alias("ok"))
+            .groupBy("round", "cls").agg(F.every("ok").alias("children_add_up")))
+    first = F.col("round") == 1
+    root = nodes.groupBy("round", "cls").agg(
+        F.max_by("rows", -F.col("id")).alias("rows"), F.max_by("g", -F.col("id")).alias("g"), F.max_by("h", -F.col("id")).alias("h"),
+        F.every(rule).alias("leaf_rule"))
+    return root.join(sums, ["round", "cls"], "left").select(
+        "round", "cls", "rows", F.when(first, F.abs(F.round("g", 5))).alias("root_gradient"),
+        F.when(first, F.round("h", 3)).alias("root_curvature"), "leaf_rule",
+        F.coalesce("children_add_up", F.lit(True)).alias("children_add_up"))
+
+
+def q_joint_early_stopping(spark, sf):
+    """One run: the trees fitted are the rounds until the stop, the model has those up to the best round, and the metric
+    that stalled had its best value there."""
+    m = joint_model(spark, sf)
+    p = JOINT_QUERY_PARAMS
+    best, metric = J.stalled(m.curve, p.patience, tuple(J.METRICS))
+    values = [r[metric or "multi_logloss"] for r in m.curve]
+    fitted = J.all_nodes(spark, m.run).agg(F.max("round")).first()[0]
+    rows = [("trees_fitted_are_rounds_run", fitted == len(m.curve) == m.fitted_rounds),
+            ("stopped_by_patience", m.fitted_rounds - m.best_iteration == p.patience or m.fitted_rounds == p.max_iter),
+            ("kept_round_is_best", m.best_iteration == best == 1 + values.index((max if J.METRICS.get(metric) else min)(values))),
+            ("model_has_kept_rounds", all(t.getNumTrees == m.best_iteration for t in m.members.values()))]
+    return spark.createDataFrame(rows, "rule string, holds boolean")
+
+
+def q_joint_resume(spark, sf):
+    """Per (round, class): a run that died after the third round and went on from its snapshot grew the same tree as a
+    run that did not die."""
+    train = row_weights(splits(spark, sf)["features"]["train"])
+    whole = J.fit_joint(train, None, FEATURES, JOINT_RESUME_PARAMS, num_classes=NUM_CLASSES).nodes(spark)
+    path = scratch_path(spark, "joint-resume")
+    try:
+        J.fit_joint(train, None, FEATURES, JOINT_RESUME_PARAMS, num_classes=NUM_CLASSES, path=path, fail_after=3)
+    except InterruptedError:
+        pass
+    again = J.fit_joint(train, None, FEATURES, JOINT_RESUME_PARAMS, num_classes=NUM_CLASSES, path=path, resume=True).nodes(spark)
+    same = ["round", "cls", "id", "feature", "split", "left", "right", "rows"]
+    a, b = (n.select(*same, F.round("value", 9).alias("value")) for n in (whole, again))
+    both = a.withColumn("_run", F.lit(1)).unionByName(b.withColumn("_run", F.lit(2)))
+    per_node = both.groupBy(*same, "value").agg(F.collect_set("_run").alias("_runs"))
+    return per_node.groupBy("round", "cls").agg(F.every(F.size("_runs") == 2).alias("same_tree"))
+
+
 def score_requests(spark: SparkSession, requests: DataFrame, sample: DataFrame, stats_sample: DataFrame,
                    multiclass_path: str, binary_path: str, now: _dt.datetime | None = None,
                    first_seen: bool = False) -> DataFrame:
@@ -281,7 +365,7 @@ def score_requests(spark: SparkSession, requests: DataFrame, sample: DataFrame,
         dictionary = fit_first_seen_dictionary(sample, CATEGORICALS)
     feats = request_backfill(request_defaults(requests, now=now), sample, stats_sample,
                              keep=("row_id",), dictionary=dictionary, statistics=T.load_statistics(spark, path))
-    if isinstance(model, T.MultiClassModel):
+    if isinstance(model, (T.MultiClassModel, J.JointModel)):
         out = model.class_probabilities(feats).withColumn("_p", F.col("probabilities"))
     else:
         # a binary model gives one probability per record; it is padded like any short row

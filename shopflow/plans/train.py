@@ -466,9 +466,13 @@ def fit_ensemble(train: DataFrame, val: DataFrame | None, features: Sequence[str
 def save_bundle(spark: SparkSession, model: BinaryModel | MultiClassModel | Ensemble, path: str,
                 dictionary: DataFrame | None = None, statistics: dict[str, DataFrame] | None = None) -> None:
     """Models, feature list, best iteration and optional frozen dictionary / statistics under one folder."""
+    from .joint import JointModel, bundle_meta
+
     boosted = model.boosted if isinstance(model, Ensemble) else model
-    kind = {BinaryModel: "binary", MultiClassModel: "multiclass", Ensemble: "ensemble"}[type(model)]
+    kind = {BinaryModel: "binary", MultiClassModel: "multiclass", JointModel: "joint", Ensemble: "ensemble"}[type(model)]
     meta = {"kind": kind, "features": model.features, "best_iteration": boosted.best_iteration}
+    if isinstance(model, JointModel):
+        meta = bundle_meta(model)
     if isinstance(boosted, BinaryModel):
         boosted.model.write().overwrite().save(f"{path}/model")
     else:
@@ -496,6 +500,10 @@ def load_statistics(spark: SparkSession, path: str) -> dict[str, DataFrame] | No
 def load_bundle(spark: SparkSession, path: str) -> tuple[BinaryModel | MultiClassModel | Ensemble, DataFrame | None]:
     meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
     dictionary = spark.read.parquet(f"{path}/dictionary") if path_exists(spark, f"{path}/dictionary") else None
+    if meta["kind"] == "joint":
+        from .joint import from_bundle
+
+        return from_bundle(spark, path, meta), dictionary
     if meta["kind"] == "binary":
         return BinaryModel(GBTClassificationModel.load(f"{path}/model"), meta["features"],
                            meta["best_iteration"], path), dictionary
