@@ -32,6 +32,64 @@ def parse_time_strict(c, fmt: str | None = TIME_FORMAT) -> Column:
     return F.to_timestamp_ntz(c, F.lit(fmt))
 
 
+# ------------------------------------------------------------------ free format
+# one layout per order of the date's parts; separators, time of day, fraction and offset are optional
+_CLOCK = r"(?:[ T](\d{1,2}):(\d{1,2})(?::(\d{1,2}(?:\.\d{1,9})?))?)?(?:Z|[+-]\d{2}:?\d{2})?$"
+TIME_LAYOUTS = {
+    "ymd": (r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})" + _CLOCK, (1, 2, 3)),
+    "mdy": (r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})" + _CLOCK, (3, 1, 2)),
+    "compact": (r"^(\d{4})(\d{2})(\d{2})(?:[ T]?(\d{2})(\d{2})(\d{2}))?$", (1, 2, 3)),
+}
+LOG_SHAPE = "Y-9-9 9:9:9"
+
+
+def time_shape(c) -> Column:
+    """The format of a time text: a year in front is ``Y``, other digit runs ``9``; a fraction of a second may be there
+    or not, an offset stays as it is (``Z`` is ``+0000``)."""
+    text = F.trim(_col(c))
+    offset = F.regexp_replace(F.regexp_extract(text, r":\d+(?:\.\d+)?(Z|[+-]\d{2}:?\d{2})$", 1), ":", "")
+    body = F.regexp_replace(F.regexp_replace(text, r"(?<=:\d{1,2})(Z|[+-]\d{2}:?\d{2})$", ""), r"(?<=:\d{1,2})\.\d+(?=$|Z|[+-])", "")
+    body = F.regexp_replace(body, r"(Z|[+-]\d{2}:?\d{2})$", "")
+    body = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), text).otherwise(body)  # the day of a date is no offset
+    shape = F.regexp_replace(F.regexp_replace(body, r"^\d{4}(?=[-/.])", "Y"), r"\d+", "9")
+    compact = F.when(text.rlike(r"^\d{8}$"), F.lit("YMD")).when(text.rlike(r"^\d{8}[ T]?\d{6}$"), F.regexp_replace(
+        F.regexp_replace(text, r"^\d{8}", "YMD"), r"\d{6}$", "HMS"))
+    return F.coalesce(compact, F.concat(shape, F.when(offset == "Z", F.lit("+0000")).otherwise(offset)))
+
+
+def infer_time_shape(df: DataFrame, time_col: str, order_col: str = "row_id") -> str | None:
+    """The format of the first time text (by ``order_col``; the smallest text without it): one aggregate, one row."""
+    text = F.nullif(F.trim(F.col(time_col)), F.lit(""))
+    by = F.col(order_col) if order_col in df.columns else text
+    row = df.where(text.isNotNull()).agg(F.min_by(time_shape(text), by).alias("shape")).first()
+    return row.shape
+
+
+def parse_time_free(c, shape: str | None, strict: bool = True) -> Column:
+    """Time texts that all have one format (``shape``), as the wall time they say; blank is NULL.
+
+    A text of another format, or one that is no time, raises, or is NULL if not ``strict``.
+    """
+    text = F.nullif(F.trim(_col(c)), F.lit(""))
+    parsed = None
+    for pattern, (y, m, d) in TIME_LAYOUTS.values():
+        def part(i: int, pattern: str = pattern) -> Column:
+            return F.regexp_extract(text, pattern, i)
+
+        def number(i: int) -> Column:
+            return F.coalesce(F.nullif(part(i), F.lit("")).cast("int"), F.lit(0))
+
+        seconds = F.coalesce(F.nullif(F.regexp_extract(part(6), r"^\d+(?:\.\d{1,6})?", 0), F.lit("")).cast("decimal(16,6)"),
+                             F.lit(0).cast("decimal(16,6)"))
+        value = F.try_make_timestamp_ntz(number(y), number(m), number(d), number(4), number(5), seconds)
+        parsed = F.when(text.rlike(pattern), value) if parsed is None else parsed.when(text.rlike(pattern), value)
+    parsed = F.when(time_shape(text) == F.lit(shape), parsed)
+    if strict:
+        message = F.concat(F.lit(f"time does not have the format of the first one ({shape}): "), text)
+        parsed = F.when(text.isNotNull() & parsed.isNull(), F.raise_error(message).cast("timestamp_ntz")).otherwise(parsed)
+    return parsed
+
+
 def time_parts(df: DataFrame, time_col: str = "action_time") -> DataFrame:
     """hour, day, month and dayofweek (Monday = 0)."""
     t = F.col(time_col)

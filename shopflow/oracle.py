@@ -422,6 +422,9 @@ select unnest(['train', 'test', 'val']), unnest([n_train, n_test, n - n_train -
   try_strptime(regexp_replace(action_time, '\.0$', ''), '%Y-%m-%d %H:%M:%S') as action_time from behavior_text"""
     q["parse_time_strict"] = with_(K_CTE, BEHAVIOR_CTE, behavior_text_cte(False)) + r"""select row_id,
   strptime(regexp_replace(action_time, '\.0$', ''), '%Y-%m-%d %H:%M:%S') as action_time from behavior_text"""
+    q["parse_time_free"] = B + """select row_id, date_trunc('second', action_time) as iso, date_trunc('minute', action_time) as slashes,
+  date_trunc('second', action_time) as offset, date_trunc('second', action_time) as month_first,
+  date_trunc('day', action_time)::timestamp as date_only, date_trunc('day', action_time)::timestamp as compact from behavior"""
     tm = with_(K_CTE, BEHAVIOR_CTE, TIMED_CTE)
     q["time_parts"] = tm + "select row_id, hour, day, month, dayofweek from timed"
     q["weekend_flag"] = tm + \

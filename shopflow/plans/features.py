@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.fill import fill_missing_typed, fill_missing_zero
-from ..functions.time import (clean_time_text, hour_bucket, parse_time_coerce, parse_time_strict,
-                              time_parts, weekend_flag)
+from ..functions.time import (LOG_SHAPE, clean_time_text, hour_bucket, infer_time_shape, parse_time_coerce,
+                              parse_time_free, parse_time_strict, time_parts, weekend_flag)
 from ..operators.encode import apply_dictionary, label_encode
 from ..operators.stats import (attach, attach_leave_one_out_means, attach_rich_stats, item_stats, ratio_features,
                                user_stats)
@@ -28,14 +28,22 @@ def prepare_time(df: DataFrame, mode: str = "coerce", time_col: str = "action_ti
     """Normalise ``action_time`` to a timestamp and add time parts.
 
     Text input is cleaned (trailing ``.0``) and parsed, with or without microseconds: ``coerce`` turns bad text into
-    NULL, ``raise`` fails the job.  Timestamp input is used as is.
+    NULL, ``fixed`` fails the job on it.  ``raise`` takes the format of the first text (``T`` or space, dashes or slashes, date
+    only, offsets; one aggregate over the log finds it) and fails the job on any other; streams have the
+    fixed format.  Timestamp input is used as is.
     """
     if time_col not in df.columns:
         return df
     dtype = df.schema[time_col].dataType
     if isinstance(dtype, T.StringType):
         text = clean_time_text(time_col)
-        parsed = parse_time_coerce(text, LOG_TIME) if mode == "coerce" else parse_time_strict(text, LOG_TIME)
+        shape = LOG_SHAPE
+        if mode == "raise" and not df.isStreaming:
+            shape = infer_time_shape(df.withColumn(time_col, text), time_col) or LOG_SHAPE
+        if mode == "coerce":
+            parsed = parse_time_coerce(text, LOG_TIME)
+        else:
+            parsed = parse_time_strict(text, LOG_TIME) if shape == LOG_SHAPE else parse_time_free(text, shape)
         df = df.withColumn(time_col, parsed)
     elif isinstance(dtype, T.TimestampType):
         df = df.withColumn(time_col, F.col(time_col).cast("timestamp_ntz"))

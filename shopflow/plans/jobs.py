@@ -58,9 +58,9 @@ def train_binary_job(spark: SparkSession, data_dir: str, model_dir: str, params:
 
 def train_multiclass_job(spark: SparkSession, data_dir: str, model_dir: str,
                          params: T.BoostParams | None = None, frozen: bool = True, fmt: str = "parquet",
-                         mode: str = "raise", resume: bool = False) -> DataFrame:
+                         mode: str = "fixed", resume: bool = False) -> DataFrame:
     """Class-weighted joint softmax boosting (``JointParams``, the default) or, with plain ``BoostParams``,
-    one-vs-rest boosted trees; validation and test report.  Times must parse (``mode``);
+    one-vs-rest boosted trees; validation and test report.  Times must have the log's format (``mode``);
     ``resume`` continues an interrupted run of the same data and parameters."""
     params = params or JointParams()
     feats, dictionary, stats = _split_features(spark, data_dir, frozen, ("row_id", "label"), fmt, mode)

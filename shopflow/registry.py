@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 from .functions import labels as L
 from .functions.fill import fill_missing_typed, fill_missing_zero
 from .functions.request import request_defaults
-from .functions.time import clean_time_text, hour_bucket, parse_time_coerce, parse_time_strict, weekend_flag
+from .functions.time import (clean_time_text, hour_bucket, infer_time_shape, parse_time_coerce, parse_time_free,
+                             parse_time_strict, weekend_flag)
 from .operators import encode, metrics, profile, stats
 from .operators.ensemble import soft_vote
 from .operators.split import split_report, stratified_split
@@ -156,6 +157,18 @@ def q_parse_time_strict(spark, sf):
     return t.select("row_id", parse_time_strict(clean_time_text("action_time")).alias("action_time"))
 
 
+# ways to write a log's times; each column has one of them
+FREE_TIMES = {"iso": "yyyy-MM-dd'T'HH:mm:ss", "slashes": "yyyy/M/d H:mm", "offset": "yyyy-MM-dd HH:mm:ss'+08:00'",
+              "month_first": "MM/dd/yyyy HH:mm:ss", "date_only": "yyyy-MM-dd", "compact": "yyyyMMdd"}
+
+
+def q_parse_time_free(spark, sf):
+    """One time in six formats, each found from its column's first text."""
+    b = _behavior(spark, sf)
+    log = b.select("row_id", *[F.date_format(F.col("action_time"), f).alias(n) for n, f in FREE_TIMES.items()])
+    return log.select("row_id", *[parse_time_free(n, infer_time_shape(log, n)).alias(n) for n in FREE_TIMES])
+
+
 def q_time_parts(spark, sf):
     return P.prepare_time(_behavior(spark, sf)).select("row_id", "hour", "day", "month", "dayofweek")
 
