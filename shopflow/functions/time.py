@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,13 +35,9 @@ def parse_time_strict(c, fmt: str | None = TIME_FORMAT) -> Column:
 
 
 # ------------------------------------------------------------------ free format
-# one layout per order of the date's parts; separators, time of day, fraction and offset are optional
-_CLOCK = r"(?:[ T](\d{1,2}):(\d{1,2})(?::(\d{1,2}(?:\.\d{1,9})?))?)?(?:Z|[+-]\d{2}:?\d{2})?$"
-TIME_LAYOUTS = {
-    "ymd": (r"^(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})" + _CLOCK, (1, 2, 3)),
-    "mdy": (r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})" + _CLOCK, (3, 1, 2)),
-    "compact": (r"^(\d{4})(\d{2})(\d{2})(?:[ T]?(\d{2})(\d{2})(\d{2}))?$", (1, 2, 3)),
-}
+# fixed values: the dates and times of day that a format can be made of, with Spark's pattern for each
+TIME_DATES = {"Y-9-9": "yyyy-M-d", "Y/9/9": "yyyy/M/d", "Y.9.9": "yyyy.M.d", "9/9/9": "M/d/yyyy", "9-9-9": "M-d-yyyy", "YMD": "yyyyMMdd"}
+TIME_CLOCKS = {"": "", "9:9": "H:m", "9:9:9": "H:m:s[.SSSSSSSSS]", "HMS": "HHmmss"}
 LOG_SHAPE = "Y-9-9 9:9:9"
 
 
@@ -65,28 +63,38 @@ def infer_time_shape(df: DataFrame, time_col: str, order_col: str = "row_id") ->
     return row.shape
 
 
+def _layout(shape: str) -> tuple[str, str] | None:
+    """The expression that texts of a format match, and Spark's pattern for them without the offset."""
+    m = re.match(r"^(?P<date>[Y9MD./-]+?)(?P<sep>[ T]?)(?P<clock>(?:9:9(?::9)?|HMS)?)(?P<offset>[+-]\d{4})?$", shape)
+    if not m or m["date"] not in TIME_DATES or bool(m["sep"]) > bool(m["clock"]):
+        return None
+    date = re.escape(m["date"]).replace("YMD", r"\d{8}").replace("Y", r"\d{4}").replace("9", r"\d{1,2}")
+    if m["date"][0] == "9":  # the year is the last part
+        date = date[: -len(r"\d{1,2}")] + r"\d{4}"
+    body = date + m["sep"] + m["clock"].replace("HMS", r"\d{6}").replace("9", r"\d{1,2}")
+    if m["clock"] == "9:9:9":
+        body += r"(?:\.\d{1,9})?"
+    if m["offset"]:
+        sign, hours, minutes = m["offset"][0], m["offset"][1:3], m["offset"][3:]
+        body += rf"(?:{re.escape(sign)}{hours}:?{minutes}{'|Z' if m['offset'] == '+0000' else ''})"
+    sep = f"'{m['sep']}'" if m["sep"] == "T" else m["sep"]
+    return f"^{body}$", TIME_DATES[m["date"]] + sep + TIME_CLOCKS[m["clock"]]
+
+
 def parse_time_free(c, shape: str | None, strict: bool = True) -> Column:
     """Time texts that all have one format (``shape``), as the wall time they say; blank is NULL.
 
     A text of another format, or one that is no time, raises, or is NULL if not ``strict``.
     """
     text = F.nullif(F.trim(_col(c)), F.lit(""))
-    parsed = None
-    for pattern, (y, m, d) in TIME_LAYOUTS.values():
-        def part(i: int, pattern: str = pattern) -> Column:
-            return F.regexp_extract(text, pattern, i)
-
-        def number(i: int) -> Column:
-            return F.coalesce(F.nullif(part(i), F.lit("")).cast("int"), F.lit(0))
-
-        seconds = F.coalesce(F.nullif(F.regexp_extract(part(6), r"^\d+(?:\.\d{1,6})?", 0), F.lit("")).cast("decimal(16,6)"),
-                             F.lit(0).cast("decimal(16,6)"))
-        value = F.try_make_timestamp_ntz(number(y), number(m), number(d), number(4), number(5), seconds)
-        parsed = F.when(text.rlike(pattern), value) if parsed is None else parsed.when(text.rlike(pattern), value)
-    parsed = F.when(time_shape(text) == F.lit(shape), parsed)
+    layout = _layout(shape or "")
+    parsed = F.lit(None).cast("timestamp_ntz")
+    if layout:
+        wall = F.regexp_replace(text, r"(Z|[+-]\d{2}:?\d{2})$", "") if re.search(r"[+-]\d{4}$", shape) else text
+        parsed = F.when(text.rlike(layout[0]), parse_time_coerce(wall, layout[1]))
     if strict:
         message = F.concat(F.lit(f"time does not have the format of the first one ({shape}): "), text)
-        parsed = F.when(text.isNotNull() & parsed.isNull(), F.raise_error(message).cast("timestamp_ntz")).otherwise(parsed)
+        parsed = F.when(text.isNotNull(), F.coalesce(parsed, F.raise_error(message).cast("timestamp_ntz")))
     return parsed
 
 

@@ -165,7 +165,9 @@ FREE_TIMES = {"iso": "yyyy-MM-dd'T'HH:mm:ss", "slashes": "yyyy/M/d H:mm", "offse
 def q_parse_time_free(spark, sf):
     """One time in six formats, each found from its column's first text."""
     b = _behavior(spark, sf)
-    log = b.select("row_id", *[F.date_format(F.col("action_time"), f).alias(n) for n, f in FREE_TIMES.items()])
+    path = scratch_path(spark, "free-times")
+    b.select("row_id", *[F.date_format(F.col("action_time"), f).alias(n) for n, f in FREE_TIMES.items()]).write.parquet(path)
+    log = spark.read.parquet(path)
     return log.select("row_id", *[parse_time_free(n, infer_time_shape(log, n)).alias(n) for n in FREE_TIMES])
 
 
