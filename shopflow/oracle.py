@@ -377,6 +377,8 @@ from shares, range(1, 4) t(r)""",
         "multiclass_learning_curve": curve(("macro_acc", "multi_logloss")),
         "ensemble_comparison": flags("model", ["boosted", "forest", "linear", "voting"], "in_range recall_is_accuracy"),
         "resume_training": flags("member", members, "first_run_fitted second_run_loaded refit_on_change"),
+        "score_ensemble": split + "select user_log_acct, item_sku_id, action_time, true as in_range, true as consistent "
+                                  "from split where split = 'test'",
         "model_roundtrip": split + "select count(*) as rows, count(*) as equal_rows from split where split = 'test'",
         "score_batch": split + "select user_log_acct, item_sku_id, action_time, true as in_range, true as consistent "
                                "from split where split = 'test'",
@@ -516,6 +518,7 @@ select unnest(['train', 'test', 'val']), unnest([n_train, n_test, n - n_train -
                       ("shop_id", "rich_shop_stats")):
         sel = ", ".join(_r(c) if (c.endswith("_mean") or c.endswith("_std")) else c for c in family_cols(key))
         q[name] = tm + f"select {key}, {sel} from ({family_sql('timed', key)})"
+        q[name.replace("rich", "merged")] = q[name]
     q["attach_base_stats"] = B + f"""select b.*, u.user_item_count, round(u.user_action_mean, 6) as user_action_mean,
   u.user_shop_nunique, u.user_brand_nunique, u.user_cate_nunique, i.item_user_count,
   round(i.item_action_mean, 6) as item_action_mean
@@ -544,6 +547,10 @@ select unnest(['train', 'test', 'val']), unnest([n_train, n_test, n - n_train -
     cast(sum(action_type) over (partition by item_sku_id) - action_type as double)
     / (count(action_type) over (partition by item_sku_id) - 1) end, 6) as item_action_mean from behavior"""
     win = "window w as (partition by user_log_acct order by action_time, row_id)"
+    q["sequence_after_history"] = tm + f"""select row_id, hour_diff, action_frequency from (select *,
+  cast(hour - lag(hour) over w as double) as hour_diff,
+  round((epoch_us(action_time) - epoch_us(lag(action_time) over w)) / 1e6, 6) as action_frequency from timed {win}),
+  (select min(epoch_us(action_time)) as a, max(epoch_us(action_time)) as b from timed) where epoch_us(action_time) > a + (b - a) // 2"""
     q["hour_diff"] = tm + f"select row_id, cast(hour - lag(hour) over w as double) as hour_diff from timed {win}"
     q["action_gap_seconds"] = tm + f"""select row_id,
   round((epoch_us(action_time) - epoch_us(lag(action_time) over w)) / 1e6, 6) as action_gap_seconds from timed {win}"""

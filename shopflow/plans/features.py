@@ -18,7 +18,8 @@ from ..functions.time import (LOG_SHAPE, clean_time_text, hour_bucket, infer_tim
 from ..operators.encode import apply_dictionary, label_encode
 from ..operators.stats import (attach, attach_leave_one_out_means, attach_rich_stats, item_stats, ratio_features,
                                user_stats)
-from ..operators.windows import DEFAULT_ORDER, sequence_features
+from ..operators.stats_state import attach_state
+from ..operators.windows import DEFAULT_ORDER, sequence_features, sequence_features_after
 from ..schema import CATEGORICALS, FEATURES, RICH_EXCLUDED, TIME_FORMAT
 
 LOG_TIME = f"{TIME_FORMAT}[.SSSSSS]"
@@ -112,6 +113,14 @@ def rich_features(df: DataFrame, order_by=DEFAULT_ORDER, skipped: list[str] | No
     return fill_missing_zero(out)
 
 
+def rich_features_frozen(df: DataFrame, state: DataFrame, history: DataFrame, mode: str = "raise") -> DataFrame:
+    """Rich features of a new log from a training log's statistics state and last actions (keys they do not know get 0)."""
+    out = prepare_time(df, mode=mode)
+    out = out.withColumns({"is_weekend": weekend_flag("dayofweek"), "hour_category": hour_bucket("hour")})
+    out = sequence_features_after(out, history)
+    return fill_missing_zero(ratio_features(attach_state(out, state, ratio_inputs=True)))
+
+
 def rich_feature_matrix(features: DataFrame) -> DataFrame:
     """Everything but the identifier columns; ``target`` and ``label`` are left out too."""
     drop = [*RICH_EXCLUDED, "target", "label", "row_id"]

@@ -14,14 +14,16 @@ from pyspark.sql import functions as F
 
 from ..functions.fill import fill_missing_typed
 from ..functions.labels import argmax, binary_target, multiclass_label
-from ..operators.encode import dictionary_sizes, fit_sorted_dictionary, label_encode_joint
+from ..operators.encode import (apply_dictionary, dictionary_sizes, fit_native_dictionary, fit_sorted_dictionary,
+                                label_encode_joint)
 from ..operators.metrics import evaluation_report, model_comparison, score_summary, split_metrics, stacked_models
 from ..operators.profile import row_weights
 from ..operators.split import split_report, stratified_split
+from ..operators.stats_state import last_actions, statistics_state
 from ..schema import CATEGORICALS, FEATURES, NUM_CLASSES, RICH_CATEGORICALS
 from ..sources import io
 from . import train as T
-from .features import base_features, base_statistics, prepare_time, rich_feature_matrix, rich_features
+from .features import base_features, base_statistics, prepare_time, rich_feature_matrix, rich_features, rich_features_frozen
 from .joint import JointParams, fit_joint
 
 SPLITS = ("train", "test", "val")
@@ -85,10 +87,13 @@ def train_ensemble_job(spark: SparkSession, data_dir: str, model_dir: str, param
              .withColumn("label", multiclass_label()) for n in ("train", "val")}
     rich = {n: rich_features(df) for n, df in parts.items()}
     train, val = label_encode_joint([rich["train"], rich["val"]], RICH_CATEGORICALS)
+    dictionary = fit_native_dictionary([rich["train"], rich["val"]], RICH_CATEGORICALS)
+    log = prepare_time(parts["train"])
+    frozen = {"state": statistics_state(log), "last_actions": last_actions(log)}
     features = rich_feature_matrix(train).columns
     model = T.fit_ensemble(train, val, features, params, path=f"{model_dir}/work", num_trees=num_trees,
                            max_iter_linear=max_iter_linear, resume=resume)
-    T.save_bundle(spark, model, f"{model_dir}/bundle")
+    T.save_bundle(spark, model, f"{model_dir}/bundle", dictionary, frozen)
     out = model.transform(val)
     members = {"boosted": argmax("p_boosted"), "forest": argmax("p_forest"), "linear": argmax("p_linear"),
                "voting": F.col("prediction")}
@@ -100,10 +105,20 @@ def _features_for(spark: SparkSession, bundle_dir: str, input_path: str, fmt: st
     model, dictionary = T.load_bundle(spark, bundle_dir)
     log = (io.read_splits(spark, input_path) if fmt == "split"
            else io.load_behavior(spark, input_path, fmt, time_text=fmt == "csv"))
+    if isinstance(model, T.Ensemble):
+        return model, ensemble_features(spark, bundle_dir, dictionary, log, mode).select(*keep, *[
+            c for c in model.features if c not in keep])
     stats = T.load_statistics(spark, bundle_dir) if training_statistics else None
     return model, base_features(log, mode=mode, keep=keep, dictionary=dictionary, statistics=stats)
 
 
+def ensemble_features(spark: SparkSession, bundle_dir: str, dictionary: DataFrame, log: DataFrame, mode: str = "raise") -> DataFrame:
+    """The rich features of a new log by an ensemble bundle: training statistics, users' last actions and dictionary."""
+    state, history = T.load_rich_statistics(spark, bundle_dir)
+    rich = rich_features_frozen(log, state, history, mode)
+    return apply_dictionary(rich, dictionary, RICH_CATEGORICALS, null_code="last")
+
+
 def evaluate_job(spark: SparkSession, bundle_dir: str, input_path: str, fmt: str = "csv",
                  threshold: float = 0.5, mode: str = "raise") -> DataFrame:
     """Binary bundle on a labelled log: (metric, value).  Unparsable times fail the job unless ``mode='coerce'``."""
@@ -118,10 +133,15 @@ def predict_job(spark: SparkSession, bundle_dir: str, input_path: str, output_pa
     """Score a log, write (user, item, time, prediction, probability); returns the score summary.
 
     ``training_statistics`` uses the bundle's frozen user / item statistics instead of the
-    scored file's own (the reference recomputes them per file)."""
+    scored file's own (the reference recomputes them per file).  With an ensemble bundle the prediction is the vote's
+    class, the probability its own, and statistics are always the bundle's."""
     model, feats = _features_for(spark, bundle_dir, input_path, fmt,
                                  ("user_log_acct", "item_sku_id", "action_time"), training_statistics, mode)
-    io.write_predictions(model.transform(feats, threshold), output_path, out_fmt)
+    if isinstance(model, T.Ensemble):
+        scored = model.transform(feats).withColumn("probability", F.array_max("p_vote"))
+    else:
+        scored = model.transform(feats, threshold)
+    io.write_predictions(scored, output_path, out_fmt)
     written = spark.read.parquet(output_path) if out_fmt == "parquet" else spark.read.options(
         **io.CSV_OPTIONS).schema("user_log_acct string, item_sku_id long, action_time timestamp_ntz, "
                                  "prediction int, probability double").csv(output_path)

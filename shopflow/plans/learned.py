@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 from ..functions import labels as L
 from ..functions.fill import fill_missing_typed
 from ..functions.request import request_defaults
-from ..operators.encode import dictionary_sizes, fit_first_seen_dictionary, fit_sorted_dictionary
+from ..operators.encode import dictionary_sizes, fit_first_seen_dictionary, fit_native_dictionary, fit_sorted_dictionary
 from ..operators.metrics import model_comparison, stacked_models
 from ..operators.profile import row_weights
 from ..operators.split import stratified_split
+from ..operators.stats_state import last_actions, statistics_state
 from ..schema import CATEGORICALS, FEATURES, NUM_CLASSES
 from ..session import scratch_path
 from ..sources import fixtures as FX
@@ -248,6 +249,24 @@ def q_score_batch(spark, sf):
         ((F.col("probability") > 0.5).cast("int") == F.col("prediction")).alias("consistent"))
 
 
+def q_score_ensemble(spark, sf):
+    """The prediction table of the test log by a saved ensemble: every row's ids, a class and the vote's probability of it
+    (the greatest of five that sum to 1)."""
+    from . import jobs
+
+    r, raw = rich_sets(spark, sf), splits(spark, sf)["raw"]
+    root = scratch_path(spark, "ensemble-scoring")
+    log = prepare_time(raw["train"])
+    dictionary = fit_native_dictionary([rich_features(raw["train"]), rich_features(raw["val"])], RICH_CATEGORICALS)
+    T.save_bundle(spark, ensemble(spark, sf), f"{root}/bundle", dictionary,
+                  {"state": statistics_state(log), "last_actions": last_actions(log)})
+    io.write_table(raw["test"].drop("target", "label"), f"{root}/log", fmt="csv")
+    jobs.predict_job(spark, f"{root}/bundle", f"{root}/log", f"{root}/out", out_fmt="parquet")
+    return spark.read.parquet(f"{root}/out").select(
+        "user_log_acct", "item_sku_id", "action_time", F.col("probability").between(1 / NUM_CLASSES, 1).alias("in_range"),
+        F.col("prediction").between(0, NUM_CLASSES - 1).alias("consistent"))
+
+
 def _importance_check(spark, models: list, importance: DataFrame) -> DataFrame:
     """Features listed, and whether all splits of the models' trees are counted (inner nodes of binary trees
     are half of the nodes, rounded down)."""

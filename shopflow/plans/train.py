@@ -497,6 +497,13 @@ def load_statistics(spark: SparkSession, path: str) -> dict[str, DataFrame] | No
     return {n: spark.read.parquet(f"{path}/statistics/{n}") for n in ("user", "item")}
 
 
+def load_rich_statistics(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame] | None:
+    """(statistics state, last actions) of an ensemble bundle, or None when it has none."""
+    if not path_exists(spark, f"{path}/statistics/state"):
+        return None
+    return spark.read.parquet(f"{path}/statistics/state"), spark.read.parquet(f"{path}/statistics/last_actions")
+
+
 def load_bundle(spark: SparkSession, path: str) -> tuple[BinaryModel | MultiClassModel | Ensemble, DataFrame | None]:
     meta = json.loads(spark.read.text(f"{path}/meta").first()[0])
     dictionary = spark.read.parquet(f"{path}/dictionary") if path_exists(spark, f"{path}/dictionary") else None

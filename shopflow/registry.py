@@ -19,10 +19,10 @@ from .functions.fill import fill_missing_typed, fill_missing_zero
 from .functions.request import request_defaults
 from .functions.time import (clean_time_text, hour_bucket, infer_time_shape, parse_time_coerce, parse_time_free,
                              parse_time_strict, weekend_flag)
-from .operators import encode, metrics, profile, stats
+from .operators import encode, metrics, profile, stats, stats_state
 from .operators.ensemble import soft_vote
 from .operators.split import split_report, stratified_split
-from .operators.windows import sequence_features
+from .operators.windows import sequence_features, sequence_features_after
 from .plans import features as P
 from .plans.score import request_backfill
 from .schema import BEHAVIOR_SCHEMA, CATEGORICALS, NUM_CLASSES, RICH_CATEGORICALS
@@ -326,6 +326,39 @@ def q_rich_shop_stats(spark, sf):
     return stats.rich_shop_stats(_with_hour(spark, sf))
 
 
+def _merged_stats(spark, sf, key):
+    """A family's statistics from the merged states of two halves of the log."""
+    log = _with_hour(spark, sf)
+    halves = []
+    for k in (0, 1):
+        path = scratch_path(spark, "statistics-state")
+        stats_state.statistics_state(log.where(F.col("row_id") % 2 == k)).write.parquet(path)
+        halves.append(spark.read.schema(stats_state.STATE).parquet(path))
+    return stats_state.state_statistics(stats_state.merge_states(*halves), key, log.schema[key].dataType.simpleString())
+
+
+def q_merged_user_stats(spark, sf):
+    return _merged_stats(spark, sf, "user_log_acct")
+
+
+def q_merged_item_stats(spark, sf):
+    return _merged_stats(spark, sf, "item_sku_id")
+
+
+def q_merged_shop_stats(spark, sf):
+    return _merged_stats(spark, sf, "shop_id")
+
+
+def q_sequence_after_history(spark, sf):
+    """Sequence features of the later half of a log's time, whose users' last actions in the first half are kept in a table."""
+    log = _with_hour(spark, sf)
+    span = log.agg(F.min("action_time").alias("a"), F.max("action_time").alias("b")).first()
+    cut = F.lit(span.a + (span.b - span.a) // 2).cast("timestamp_ntz")
+    new = log.where(F.col("action_time") > cut)
+    history = stats_state.last_actions(log.where(F.col("action_time") <= cut))
+    return sequence_features_after(new, history).select("row_id", "hour_diff", "action_frequency")
+
+
 def q_attach_base_stats(spark, sf):
     return stats.attach_base_stats(_behavior(spark, sf))
 
