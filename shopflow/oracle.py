@@ -412,6 +412,17 @@ group by 1 union all
 select unnest(['train', 'test', 'val']), unnest([n_train, n_test, n - n_train - n_test]) from (
   select *, cast(floor(cast({TEST_SHARE!r} as double) * cast(n - n_train as double)) as bigint) as n_test from (
     select count(*) as n, cast(floor(cast({RATIOS[0]!r} as double) * count(*)) as bigint) as n_train from behavior))"""
+    q["frozen_target_statistics"] = split_from_labeled + """, prior as (select avg(target) as p from split where split = 'train'),
+brands as (select brand_code, sum(target) as t, count(*) as n from split where split = 'train' group by brand_code),
+shops as (select shop_id, sum(target) as t, count(*) as n from split where split = 'train' group by shop_id)
+select s.row_id, s.split, round((coalesce(b.t, 0) + p) / (coalesce(b.n, 0) + 1.0), 6) as brand_code_target,
+  round((coalesce(h.t, 0) + p) / (coalesce(h.n, 0) + 1.0), 6) as shop_id_target
+from split s cross join prior left join brands b on b.brand_code is not distinct from s.brand_code
+left join shops h on h.shop_id is not distinct from s.shop_id where s.split <> 'train'"""
+    q["ordered_target_statistics"] = B + """, t as (select *, case when action_type = 2 then 1 else 0 end as y from behavior),
+o as (select row_id, coalesce(sum(y) over w, 0)::double as sum_before, count(*) over w as rows_before from t
+  window w as (partition by user_log_acct order by md5('42:' || row_id::varchar), row_id rows between unbounded preceding and 1 preceding))
+select *, round((sum_before + 0.5) / (rows_before + 1.0), 6) as user_target from o"""
     q["split_report"] = split_from_labeled + \
         "select split, count(*) as rows, round(avg(target), 6) as positive_ratio from split group by split"
     q["prediction_output"] = with_(K_CTE, BEHAVIOR_CTE, scored_cte()) + """select b.user_log_acct, b.item_sku_id,

@@ -19,7 +19,7 @@ from .functions.fill import fill_missing_typed, fill_missing_zero
 from .functions.request import request_defaults
 from .functions.time import (clean_time_text, hour_bucket, infer_time_shape, parse_time_coerce, parse_time_free,
                              parse_time_strict, weekend_flag)
-from .operators import encode, metrics, profile, stats, stats_state
+from .operators import encode, metrics, profile, stats, stats_state, target_stats
 from .operators.ensemble import soft_vote
 from .operators.split import split_report, stratified_split
 from .operators.windows import sequence_features, sequence_features_after
@@ -301,6 +301,22 @@ def q_label_encode_frozen(spark, sf):
     return encode.label_encode_frozen(test, train, CATEGORICALS).select("row_id", *CATEGORICALS)
 
 
+def q_ordered_target_statistics(spark, sf):
+    """Users (a category with many values) by the purchases of their earlier rows, in a seeded order."""
+    b = _behavior(spark, sf).withColumn("target", L.binary_target())
+    out = target_stats.running_target_sums(b, "user_log_acct", seed=SEED)
+    return out.select("row_id", "sum_before", "rows_before",
+                      target_stats.smoothed(F.col("sum_before"), F.col("rows_before"), 0.5).alias("user_target"))
+
+
+def q_frozen_target_statistics(spark, sf):
+    """Validation and test rows by their brand's purchases in the training split (a missing brand is a brand)."""
+    path = _split_table(spark, sf)
+    train, val, test = (io.read_split(spark, path, n) for n in ("train", "val", "test"))
+    _, a, b = target_stats.encode_ordered(train, [val, test], ["brand_code", "shop_id"])
+    return a.unionByName(b).select("row_id", "split", "brand_code_target", "shop_id_target")
+
+
 # ---------------------------------------------------------------- D: statistics and joins
 def _with_hour(spark, sf):
     return P.prepare_time(_behavior(spark, sf))
