@@ -8,7 +8,8 @@ When the stream has read all files, the state is read back as a table; each row
 hit is compared byte by byte with the text its locator points to.  Rows that share a digest but
 not the bytes are grouped by their full text, so even a weak digest gives right results.
 
-Defined results: a null text counts as empty; null doc_ids sort after all others; of rows with
+Defined results: a null text counts as empty; long texts are hashed and compared whole; repeated rows are rows of one
+group; null doc_ids sort after all others; of rows with
 equal doc_id and text the one with the smaller locator stays; an empty table gives no rows;
 columns other than doc_id and text are not read.
 """

@@ -7,7 +7,8 @@ linear program by column generation (knapsack dynamic programming prices the col
 the pattern uses; the pieces of each bin, ranked by (doc_id, start), are then dealt to the patterns
 in order on the executors: rank -> pattern, sequence and place by one search in a sorted table.
 
-Defined results: a null text is empty and becomes one piece with the end id; null doc_ids rank
+``capacity`` must be a multiple of ``UNIT``.  Defined results: a null or empty text becomes one piece with the end id; a long
+text is encoded whole and cut into pieces; null doc_ids rank
 first; repeated rows are packed each; an empty table gives no sequences; columns other than doc_id
 and text are not read.
 """

@@ -9,7 +9,7 @@ compiles it to one column expression, so scoring is a projection: no join, shuff
 Trees and lasso are fitted on at most ``FIT_ROWS`` labelled rows (the ones of smallest id hash, a
 documented bound), with classes weighted equally.  Labels, lang, source and doc_id are no inputs.
 
-Defined results: a null text counts as empty and is scored like any text; labels that are null, not
+Defined results: a null text counts as empty and is scored like any text; long texts are read whole; labels that are null, not
 0 or 1, or without a document are left out; repeated rows are scored each; if only one class has
 labels the model is that class's constant; an empty table gives no rows; other columns are kept
 untouched by ``with_score`` (whose own column names are given by the caller).

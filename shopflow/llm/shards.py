@@ -3,7 +3,7 @@
 Rows get global numbers 0..n-1 in (doc_id, text) order; a keyed Feistel network permutes the
 numbers; number p goes to shard ``p mod shards``, slot ``p div shards``.  So shard sizes differ by
 at most one row (law ``rows``), slots are gapless, and shard and slot of any row number can be
-computed without looking at other rows (and back, see ``feistel``).
+computed without looking at other rows.
 
 The network works on Z_a x Z_b with a*b >= n: each round adds a keyed hash of one half to the other
 half, which is a bijection whatever the hash.  Results >= n are fed in again (cycle walking) until
@@ -11,7 +11,8 @@ they are < n; a walk visits each of the a*b - n surplus numbers once at most.
 
 Equal texts are not kept together: the law fixes counts, not groups.
 
-Defined results: a null text has size 1 and the crc32 of no bytes; null doc_ids are numbered first;
+Defined results: a null or empty text has size 1 and the crc32 of no bytes; long texts only give their size and
+crc32; repeated rows are numbered each; null doc_ids are numbered first;
 rows equal in doc_id and text are interchangeable, so whichever is first takes the lower number; an
 empty table gives no rows; other columns are not read.
 """

@@ -5,8 +5,8 @@ Fingerprints: A-Z lower-cased, words are runs of non-white bytes, shingles of ``
 shingles' XXH64 hashes (seed 42).
 
 Search: equal fingerprints are collapsed to one first.  For every distinct fingerprint the Hamming
-distances to ``PIVOTS`` reference fingerprints are computed once (its row of the pivot distance
-table).  By the triangle inequality the distances of two fingerprints within ``max_bits`` of each
+distances to ``PIVOTS`` reference fingerprints are its row of the pivot distance table (computed in each
+cell that holds it).  By the triangle inequality the distances of two fingerprints within ``max_bits`` of each
 other differ by at most ``max_bits`` at every pivot, so a pair whose largest coordinate difference
 is greater is discarded, and only survivors are compared bit by bit.
 
@@ -22,7 +22,8 @@ fingerprints linked to the centre leave the cell's remaining list, and their own
 sought only among the remaining ones that pivots (the centre included) do not rule out.  A cell
 of near copies of one text takes linear time.  Only spanning links are emitted.
 
-Defined results: a null or empty text has fingerprint zero, linked like any other; null doc_ids get
+Defined results: a null or empty text has fingerprint zero, linked like any other; texts are taken whole however
+long; null doc_ids get
 a fingerprint and count as largest when a component's smallest doc_id is taken; repeated rows give
 repeated rows; an empty table gives no rows; columns other than doc_id and text are not read.
 """

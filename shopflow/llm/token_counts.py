@@ -10,10 +10,12 @@ characters, for the earlier one where two cover as many.  Tokens that no section
 for the row with section -1, so the sections' counts always add up to the document's count.
 
 Sections come as a column ``array<struct<start: bigint, end: bigint>>`` of character spans that do not
-overlap (``line_sections`` and ``field_sections`` make one); unsorted, empty or out-of-range spans
-are allowed.  Defined results: a null text is empty (no tokens); a null or empty section list
-leaves all tokens to section -1; each row is counted by itself, repeated ids included; an empty
-table gives no rows; columns not named are not read.
+overlap (``field_sections`` makes one; overlapping ones fail the job); unsorted, empty or out-of-range
+spans are allowed.  Defined results: a null or empty text has no tokens (without ``sections`` no row, else a row of 0
+for each); a null or empty section list leaves all tokens to section -1; a null section, or one without start or end, keeps its
+number, has no tokens and null bounds; texts are encoded whole however long, a few megabytes of them at a time; each row
+is counted by itself, repeated rows and ties of doc_id and null ids included; an empty table gives no rows;
+columns not named are not read.
 """
 
 from __future__ import annotations
@@ -109,11 +111,16 @@ def section_token_counts(docs: DataFrame, tokenizer_path: str, text: Column | No
                 parts: list[tuple] = []
                 for doc_id, whole, given in zip(*[c.to_pylist() for c in rows.columns], strict=True):
                     starts, ends = token_spans(bpe, whole)
-                    own = line_spans(whole) if by_line else [(s["start"], s["end"]) for s in given or []]
-                    span = np.array(own, dtype=np.int64).reshape(-1, 2)
+                    own = line_spans(whole) if by_line else [
+                        (s["start"], s["end"]) if s and s["start"] is not None and s["end"] is not None else None
+                        for s in given or []]
+                    absent = np.array([s is None for s in own], dtype=bool)
+                    span = np.array([s or (0, 0) for s in own], dtype=np.int64).reshape(-1, 2)
                     # empty sections hold no character, so only the others take part in the join
                     order = np.lexsort((span[:, 1], span[:, 0]))
                     order = order[span[order, 0] < span[order, 1]]
+                    if (span[order[:-1], 1] > span[order[1:], 0]).any():
+                        raise ValueError(f"sections of document {doc_id} overlap")
                     owner, crosses = attribute(starts, ends, span[order, 0], span[order, 1])
                     n = np.zeros(len(span) + 1, dtype=np.int64)
                     c = np.zeros(len(span) + 1, dtype=np.int64)
@@ -125,9 +132,11 @@ def section_token_counts(docs: DataFrame, tokenizer_path: str, text: Column | No
                     number[len(span):] = OUTSIDE
                     bounds = np.vstack([span, [[0, len(whole)]]])[:k]
                     parts.append(([doc_id] * k, number, bounds[:, 0], bounds[:, 1], n[:k], c[:k],
-                                  np.full(k, len(starts))))
+                                  np.full(k, len(starts)), np.append(absent, False)[:k]))
                 columns = [pa.array([d for p in parts for d in p[0]], pa.int64())]
-                columns += [pa.array(np.concatenate([p[i] for p in parts]), pa.int64()) for i in range(1, 7)]
+                unknown = np.concatenate([p[7] for p in parts])
+                columns += [pa.array(np.concatenate([p[i] for p in parts]), pa.int64(), mask=unknown if i in (2, 3) else None)
+                            for i in range(1, 7)]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     whole = text_or_empty() if text is None else F.coalesce(text, F.lit(""))

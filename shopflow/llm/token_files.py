@@ -12,7 +12,8 @@ lost executors):
 Parts are ranges of doc_id in ascending order, so a document's first id has the global number
 (ids of earlier parts) + (block's start) + (ids before it in the block).
 
-Defined results: a null text is empty and has the end id only; null doc_ids come first; rows of
+Defined results: a null text is empty and has the end id only; a long text is encoded whole and lies in one block;
+repeated rows are written each; null doc_ids come first; rows of
 equal doc_id are ordered by their ids; an empty table gives an empty file set; columns other than
 doc_id and text are not read.
 """

@@ -16,7 +16,8 @@ segments' calibrated scores.
 
 Everything is fitted on at most ``FIT_ROWS`` labelled rows (smallest id hash, a documented bound);
 labels, lang, source and doc_id are no inputs.  Defined results: null, empty and letterless texts
-have no segment and get the score of a text without one; repeated rows are scored each; with labels
+have no segment and get the score of a text without one; long texts are scanned whole; repeated rows and ties are
+scored each; with labels
 of one class only every score is that class's constant; an empty table gives no rows; other
 columns are kept untouched by ``with_segments``.
 """
@@ -240,7 +241,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", fold_of: int =
                                               pa.array(columns[2], pa.float64()),
                                               pa.array(columns[3], pa.list_(pa.float64()))], ["y", "words", "best", "all"])
 
-    # a few numbers for each of at most FIT_ROWS / 4 texts
+    # the scores of every maximal segment of at most FIT_ROWS / 4 texts (it grows with these texts' lengths)
     seen = apart.mapInArrow(best, "y long, words long, best double, all array<double>").toPandas()
     if len(seen) == 0 or seen["y"].nunique() < 2:
         model.weights = (math.log(toxic / (n - toxic)), 1.0, 1.0)

@@ -200,6 +200,20 @@ def test_section_counts_by_line(spark):
     assert token_counts.section_token_counts(empty_docs(spark), BYTE).count() == 0
 
 
+def test_section_counts_with_missing_and_overlapping_spans(spark):
+    schema = "doc_id long, text string, spans array<struct<start:bigint,end:bigint>>"
+    rows = [(1, "one two three", [None, (0, 3), (None, 5), (4, None), (3, 13)]), (2, None, [None, (0, 2)]), (3, "x", [None]), (3, "x", None)]
+    docs = spark.createDataFrame(rows, schema)
+    out = token_counts.section_token_counts(docs, BYTE, sections=F.col("spans")).collect()
+    got = {(r.doc_id, r.section): (r.start, r.end, r.n_tokens) for r in out if r.doc_id != 3}
+    assert got == {(1, 0): (None, None, 0), (1, 1): (0, 3, 1), (1, 2): (None, None, 0), (1, 3): (None, None, 0), (1, 4): (3, 13, 2),
+                   (2, 0): (None, None, 0), (2, 1): (0, 2, 0)}
+    assert sorted((r.section, r.n_tokens) for r in out if r.doc_id == 3) == [(-1, 1), (-1, 1), (0, 0)]
+    bad = spark.createDataFrame([(7, "one two three", [(0, 5), (4, 9)])], schema)
+    with pytest.raises(Exception, match="sections of document 7 overlap"):
+        token_counts.section_token_counts(bad, BYTE, sections=F.col("spans")).collect()
+
+
 def test_section_counts_with_given_spans(spark):
     rows = [(1, "hello wonderful world", [(0, 3), (3, 9), (9, 9), (14, 21)]), (2, "日本語テキスト é", [(5, 9), (0, 2)]),
             (3, "no spans", []), (4, "null spans", None), (5, None, [(0, 4)]), (6, "beyond", [(3, 99)])]
