@@ -119,9 +119,11 @@ def _merged(path: list[tuple[str, bool, float]]) -> tuple[tuple[str, bool, float
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, fold_of: int, held_out: int,
              rows: int) -> DataFrame:
-    """text and y of at most ``rows`` training documents: the ones of smallest hash of the id."""
+    """text and y of at most ``rows`` training documents: the ones of smallest hash of the id.  Labels without a
+    document are left out before the bound is applied, so they take no other's place."""
     chosen = (labels.select(F.col("doc_id").alias("doc_id"), F.col(label).cast("int").alias("y"))
               .where(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), fold_of) != held_out))
+              .join(docs.select(F.col("doc_id").alias("doc_id")), "doc_id", "left_semi")
               .orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(rows))
     # at most ``rows`` ids: small enough to send to every task, so no text is shuffled
     return docs.select(F.col("doc_id").alias("doc_id"), text_or_empty().alias("text")).join(F.broadcast(chosen), "doc_id")

@@ -1,5 +1,6 @@
 """Toxicity and quality models: held-out accuracy, the parts against brute force, and edge cases."""
 
+import zlib
 import itertools
 import random
 
@@ -173,3 +174,15 @@ def test_tree_rules_cover_every_path():
     assert got == {(low,), (low, ("b", True, -1e-4)), (low, ("b", False, -1e-4)), (("a", False, 0.5),), (("a", True, 0.7),),
                    (("a", True, 0.2),), (("a", False, 0.2), ("a", True, 0.7)), (("a", False, 0.7),)}
     assert list(itertools.chain(got))
+
+
+def test_labels_without_a_document_take_no_place(spark):
+    from shopflow.llm import quality
+
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(60)] + [(None, "x")], "doc_id long, text string")
+    rows = [(i, i % 2) for i in range(60)] + [(10 ** 6 + i, 1) for i in range(2000)] + [(None, 1)]
+    labels = spark.createDataFrame(rows, "doc_id long, quality int")
+    usable = {i for i in range(60) if zlib.crc32(str(i).encode()) % 4 != 2}
+    every = quality.labelled(docs, labels, "quality", 4, 2, 100).collect()
+    assert {r.text for r in every} == {f"text {i}" for i in usable} and len(every) == len(usable)
+    assert quality.labelled(docs, labels, "quality", 4, 2, 10).count() == 10
