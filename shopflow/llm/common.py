@@ -47,6 +47,13 @@ def written(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Dat
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def join_split(df: DataFrame, totals: DataFrame, key: str) -> DataFrame:
+    """``df`` joined with an aggregate on ``key``.  The hash of the key as a second key makes Spark exchange
+    the (small) aggregate once more, and only then can AQE split a hot key's rows."""
+    hashed = totals.withColumn("_hashed_key", F.xxhash64(key))
+    return df.withColumn("_hashed_key", F.xxhash64(key)).join(hashed, [key, "_hashed_key"]).drop("_hashed_key")
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_package, written
+from .common import join_split, ship_package, written
 from .components import connected_components
 
 SAMPLE = 4096
@@ -187,49 +187,44 @@ def _links_of_dim(nodes: DataFrame, n: int, cosine: float) -> DataFrame:
         total = np.zeros(places, dtype=np.int64)
         for batch in batches:
             if batch.num_rows:
-                home, _, d = shipped.value.home(_matrix(batch.column(0)))
-                total += shipped.value.copies(home, d, radius).sum(axis=0)
+                _, _, d = shipped.value.home(_matrix(batch.column(0)))
+                total += shipped.value.copies(batch.column(1).to_numpy(), d, radius).sum(axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(places)), pa.array(total)], ["place", "n"])
 
     n_guest = np.zeros(places, dtype=np.int64)
-    for row in (placed.select("vector").mapInArrow(guests, "place long, n long")
+    for row in (placed.select("vector", "place").mapInArrow(guests, "place long, n long")
                 .groupBy("place").agg(F.sum("n").alias("n")).collect()):
         n_guest[row["place"]] = row["n"]
     home_blocks, guest_blocks = -(-n_home // BLOCK), -(-n_guest // BLOCK)
     n_balls = part.n_balls
 
+    key = ["place", "kind", "a", "b"]
+
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A copy of each node for each pair of blocks it takes part in: group (place, kind, a, b), side."""
         for batch in batches:
             if not batch.num_rows:
                 continue
             nodes_, weights = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            home, _, d = shipped.value.home(_matrix(batch.column(2)))
+            home, (_, _, d) = batch.column(3).to_numpy(), shipped.value.home(_matrix(batch.column(2)))
             copied = shipped.value.copies(home, d, radius)
-            rows, group = [], []
             turn = (nodes_ * 0x9E3779B1 >> 7) & 0x7FFFFFFF  # spreads nodes over blocks
-            for i, c in enumerate(home.tolist()):
-                own = int(turn[i] % home_blocks[c])
-                if c >= n_balls:
-                    for b in range(home_blocks[c]):
-                        rows.append(i)
-                        group.append((c, 0, min(own, b), max(own, b), int(own > b)))
-                for g in range(guest_blocks[c]):
-                    rows.append(i)
-                    group.append((c, 1, own, g, 0))
-            for i, c in zip(*(v.tolist() for v in np.nonzero(copied)), strict=True):
-                g = int(turn[i] % guest_blocks[c])
-                for a in range(home_blocks[c]):
-                    rows.append(i)
-                    group.append((c, 1, a, g, 1))
-            for k in range(0, len(rows), 8192):
-                take = np.array(rows[k: k + 8192], dtype=np.int64)
-                keys = np.array(group[k: k + 8192], dtype=np.int64).T
-                yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(v) for v in keys], pa.array(nodes_[take]), pa.array(weights[take]),
-                     batch.column(2).take(pa.array(take))], [*key, "side", "node", "weight", "vector"])
-
-    key = ["place", "kind", "a", "b"]
+            own = turn % home_blocks[home]
+            at, c = np.nonzero(copied)
+            every = np.arange(len(home))
+            # own rows against own blocks (not in balls), against the guests' blocks, and as a guest
+            for kind, rows, place_, mine, times in (
+                    (0, every, home, own, np.where(home >= n_balls, home_blocks[home], 0)),
+                    (1, every, home, own, guest_blocks[home]),
+                    (2, at, c, turn[at] % np.maximum(guest_blocks[c], 1), home_blocks[c])):
+                for i, other in _repeated(times):
+                    take, one = rows[i], mine[i]
+                    a, b, side = ((np.minimum(one, other), np.maximum(one, other), one > other) if kind == 0 else
+                                  (one, other, other < 0) if kind == 1 else (other, one, other >= 0))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(place_[i]), pa.array(np.full(len(i), min(kind, 1))), pa.array(a), pa.array(b),
+                         pa.array(side.astype(np.int64)), pa.array(nodes_[take]), pa.array(weights[take]),
+                         batch.column(2).take(pa.array(take))], [*key, "side", "node", "weight", "vector"])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def group(kind: int, a: int, b: int, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,7 +260,7 @@ def _links_of_dim(nodes: DataFrame, n: int, cosine: float) -> DataFrame:
             yield from group(*last[1:], held)
 
     schema = "node long, linked long, a long, b long"
-    joined = (placed.select("node", "weight", "vector").mapInArrow(
+    joined = (placed.select("node", "weight", "vector", "place").mapInArrow(
         deal, "place long, kind long, a long, b long, side long, node long, weight long, vector binary")
         .repartition(*key).sortWithinPartitions(*key).mapInArrow(join, schema))
     # nodes of one ball are all linked: by total weight, and by an edge to the ball's smallest node
@@ -278,6 +273,15 @@ def _links_of_dim(nodes: DataFrame, n: int, cosine: float) -> DataFrame:
                                    F.col("node").alias("a"), F.col("root").alias("b")))
 
 
+def _repeated(times: np.ndarray, rows: int = 8192) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Entry i ``times[i]`` times, as (entry, number of the repetition), in runs of at most ``rows``."""
+    ends = np.cumsum(times)
+    for k in range(0, int(ends[-1]) if len(ends) else 0, rows):
+        turn = np.arange(k, min(k + rows, int(ends[-1])))
+        i = np.searchsorted(ends, turn, side="right")
+        yield i, turn - (ends[i] - times[i])
+
+
 def _out(node, linked, a, b) -> pa.RecordBatch:
     n = len(node) if node is not None else len(a)
     none = pa.nulls(n, pa.int64())
@@ -295,11 +299,13 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = 0.9, vec_id: str
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for v in batch.column(1):
-                x = None if not v.is_valid else v.values.to_numpy(zero_copy_only=False).astype("<f8")
-                good = x is not None and len(x) and np.isfinite(x).all() and x.any()
-                out.append((x + 0.0).tobytes() if good else None)
+            lists = batch.column(1)
+            x = lists.values.to_numpy(zero_copy_only=False).astype("<f8") + 0.0  # a null component is NaN here
+            low, high = lists.offsets.to_numpy()[:-1], lists.offsets.to_numpy()[1:]
+            odd, used = (np.concatenate([[0], np.cumsum(c)]) for c in (~np.isfinite(x), x != 0))
+            good = lists.is_valid().to_numpy(zero_copy_only=False) & (odd[high] == odd[low]) & (used[high] > used[low])
+            raw = memoryview(x.tobytes())
+            out = [raw[8 * a: 8 * b] if g else None for g, a, b in zip(good.tolist(), low.tolist(), high.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["vec_id", "vector"])
 
     rows = written(vectors.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"),
@@ -324,7 +330,7 @@ def near_duplicate_vectors(vectors: DataFrame, cosine: float = 0.9, vec_id: str
         "digest", "first", F.coalesce("root", "node").alias("root"),
         (F.col("weight") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")), "vector-members")
     smallest = member.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = written(member.join(smallest, "root").select("digest", "n_links", "component_id"), "vector-classes")
+    classes = written(join_split(member, smallest, "root").select("digest", "n_links", "component_id"), "vector-classes")
     good = rows.where(F.col("vector").isNotNull()).select("vec_id", "digest").join(classes, "digest").select(
         "vec_id", "n_links", "component_id")
     bad = rows.where(F.col("vector").isNull()).select(

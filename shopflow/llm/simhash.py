@@ -5,8 +5,8 @@ Fingerprints: A-Z lower-cased, words are runs of non-white bytes, shingles of ``
 shingles' XXH64 hashes (seed 42).
 
 Search: equal fingerprints are collapsed to one first.  For every distinct fingerprint the Hamming
-distances to ``PIVOTS`` reference fingerprints are its row of the pivot distance table (computed in each
-cell that holds it).  By the triangle inequality the distances of two fingerprints within ``max_bits`` of each
+distances to ``PIVOTS`` reference fingerprints are its row of the pivot distance table, computed once and
+stored with it.  By the triangle inequality the distances of two fingerprints within ``max_bits`` of each
 other differ by at most ``max_bits`` at every pivot, so a pair whose largest coordinate difference
 is greater is discarded, and only survivors are compared bit by bit.
 
@@ -17,6 +17,12 @@ therefore first split exactly: the 64 bits are cut in ``blocks`` groups; two fin
 for some choice of that many groups.  ``blocks`` follows from the number of distinct fingerprints
 (more groups give wider keys); every choice finds the same links.
 
+Texts with much in common can crowd a cell all the same.  A cell of more than ``LARGE`` fingerprints is
+cut again in the same way: its free bits (those the cell does not fix) make ``max_bits + 1`` groups, two
+fingerprints at most ``max_bits`` apart agree on one of them, and the cell becomes the finer cells of
+each group.  Fingerprints are distinct, so every cut leaves fewer that can share a cell, and cells end
+below ``LARGE`` or with at most ``max_bits`` free bits, where all are linked to any one.
+
 Inside a cell only components matter, so a cell is searched from one centre after another:
 fingerprints linked to the centre leave the cell's remaining list, and their own neighbours are
 sought only among the remaining ones that pivots (the centre included) do not rule out.  A cell
@@ -38,15 +44,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_package, text_bytes, written
+from .common import join_split, ship_package, text_bytes, written
 from .components import connected_components
 from .token_files import _slices
 
 SEED = 42
 PIVOTS = 16
 CELL_ROWS = 64
+LARGE = 4096
 PART_SHINGLES = 1 << 15
 CHUNK = 1 << 10
+ALL_BITS = (1 << 64) - 1
 
 
 def shingle_hashes(text: bytes, shingle: int) -> Iterator[np.ndarray]:
@@ -110,9 +118,14 @@ def block_masks(n: int, max_bits: int) -> list[int]:
     return [sum(c) for c in itertools.combinations(groups, agree)]
 
 
-def cell_links(fps: np.ndarray, max_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Links that span the components of one cell's distinct fingerprints (uint64)."""
-    table = pivot_table(fps)
+def finer_masks(mask: int, max_bits: int) -> list[int]:
+    """``mask`` with one of the ``max_bits + 1`` groups of its free bits added, for each group."""
+    free = [i for i in range(64) if not mask >> i & 1]
+    return [mask | sum(1 << int(i) for i in group) for group in np.array_split(free, max_bits + 1)]
+
+
+def cell_links(fps: np.ndarray, table: np.ndarray, max_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links that span the components of one cell's distinct fingerprints (uint64) with their pivot rows."""
     left = np.arange(len(fps))
     while len(left) > 1:
         centre, left = left[0], left[1:]
@@ -151,35 +164,83 @@ def cell_links(fps: np.ndarray, max_bits: int) -> Iterator[tuple[np.ndarray, np.
                     left, reach = left[~taken], reach[~taken]
 
 
+CELL_SCHEMA = "mask long, cell long, fp long, p0 long, p1 long"
+
+
+def pivot_rows(distinct: DataFrame) -> DataFrame:
+    """fp and its row of the pivot distance table: PIVOTS bytes, as the two longs p0 and p1."""
+    ship_package(distinct.sparkSession)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                fps = batch.column(0).to_numpy()
+                rows = pivot_table(fps.view(np.uint64)).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(rows[:, 0].copy()), pa.array(rows[:, 1].copy())], ["fp", "p0", "p1"])
+
+    return distinct.select("fp").mapInArrow(measure, "fp long, p0 long, p1 long")
+
+
+def split_crowded(cells: DataFrame, max_bits: int) -> DataFrame:
+    """Cells of more than LARGE fingerprints replaced by the cells of their finer masks, until none is left."""
+
+    def finer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            masks, which = np.unique(batch.column("mask").to_numpy(), return_inverse=True)
+            table = np.array([finer_masks(int(m) & ALL_BITS, max_bits) for m in masks], dtype=np.uint64).view(np.int64)
+            fps = batch.column("fp").to_numpy()
+            for group in range(max_bits + 1):
+                mask = table[which, group]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(mask), pa.array(fps & mask), *[batch.column(c) for c in ("fp", "p0", "p1")]],
+                    ["mask", "cell", "fp", "p0", "p1"])
+
+    done = None
+    while True:
+        crowded = written(cells.groupBy("mask", "cell").agg(F.count(F.lit(1)).alias("n")).where(
+            (F.col("n") > LARGE) & (F.bit_count("mask") < 64 - max_bits)).select("mask", "cell"), "crowded-cells")
+        if crowded.isEmpty():
+            return cells if done is None else done.unionByName(cells)
+        small = cells.join(crowded, ["mask", "cell"], "left_anti")
+        done = small if done is None else done.unionByName(small)
+        cells = written(cells.join(crowded, ["mask", "cell"], "left_semi").mapInArrow(finer, CELL_SCHEMA), "finer-cells")
+
+
 def fingerprint_links(distinct: DataFrame, max_bits: int) -> DataFrame:
     """a, b: links among the distinct fingerprints (column fp) that span their components."""
-    ship_package(distinct.sparkSession)
-    masks = block_masks(distinct.count(), max_bits)
-    cells = distinct.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in masks])))
+    table = written(pivot_rows(distinct), "pivot-table")
+    masks = F.array(*[F.lit(_signed(m)) for m in block_masks(table.count(), max_bits)])
+    cells = table.withColumn("mask", F.explode(masks)).select(
+        "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("cell"), "fp", "p0", "p1")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def emit(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            fps = np.concatenate(held)
-            for a, b in cell_links(fps.view(np.uint64), max_bits):
+            rows = np.concatenate(held)
+            fps, pivots = rows[:, 0].copy(), rows[:, 1:].copy().view(np.int8)
+            for a, b in cell_links(fps.view(np.uint64), pivots, max_bits):
                 yield pa.RecordBatch.from_arrays([pa.array(fps[a]), pa.array(fps[b])], ["a", "b"])
 
         held, last = [], None
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            fps, pos, col = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            cuts = np.flatnonzero((np.diff(pos) != 0) | (np.diff(col) != 0)) + 1
-            for i, j in itertools.pairwise([0, *cuts.tolist(), len(fps)]):
-                if last != (pos[i], col[i]):
+            mask, cell, *row = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            rows = np.stack(row, axis=1)
+            cuts = np.flatnonzero((np.diff(mask) != 0) | (np.diff(cell) != 0)) + 1
+            for i, j in itertools.pairwise([0, *cuts.tolist(), len(rows)]):
+                if last != (mask[i], cell[i]):
                     if sum(map(len, held)) > 1:
                         yield from emit(held)
-                    held, last = [], (pos[i], col[i])
-                held.append(fps[i:j].astype(np.int64))
+                    held, last = [], (mask[i], cell[i])
+                held.append(rows[i:j])
         if sum(map(len, held)) > 1:
             yield from emit(held)
 
-    return (cells.repartition("pos", "col").sortWithinPartitions("pos", "col", "fp")
-            .select("fp", "pos", "col").mapInArrow(search, "a long, b long"))
+    return (split_crowded(cells, max_bits).repartition("mask", "cell").sortWithinPartitions("mask", "cell", "fp")
+            .mapInArrow(search, "a long, b long"))
 
 
 def _signed(mask: int) -> int:
@@ -195,7 +256,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> Dat
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     member = written(member, "fingerprint-roots")
     smallest = member.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = written(member.join(smallest, "root").select("fp", "component_id"), "fingerprint-classes")
+    classes = written(join_split(member, smallest, "root").select("fp", "component_id"), "fingerprint-classes")
     return table.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 

@@ -145,6 +145,62 @@ def test_fingerprint_links_in_crowded_cells(spark, monkeypatch):
         assert (got.groupby(want).nunique() == 1).all() and got.nunique() == len(set(want))
 
 
+def _linked_by_scan(fps):
+    """All pairs at most four bits apart, found by comparing every fingerprint with every other."""
+    a, b = [], []
+    for i in range(0, len(fps), 512):
+        x, y = np.nonzero(np.bitwise_count(fps[i: i + 512, None] ^ fps[None, :]) <= 4)
+        a, b = a + [x[x + i < y] + i], b + [y[x + i < y]]
+    return np.concatenate(a), np.concatenate(b)
+
+
+def _classes(n, pairs):
+    root = list(range(n))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for a, b in pairs:
+        root[find(a)] = find(b)
+    return [find(i) for i in range(n)]
+
+
+def test_unrelated_fingerprints_in_one_cell(spark):
+    """Twenty thousand fingerprints that share a whole bit group, with planted near pairs and a tight cluster."""
+    rng = np.random.default_rng(3)
+    fps = rng.integers(0, 1 << 50, 20000, dtype=np.uint64) | np.uint64(0x2AAA << 50)
+    flips = np.uint64(1) << rng.integers(0, 50, (300, 4), dtype=np.uint64)
+    near = fps[:300] ^ np.bitwise_xor.reduce(flips, axis=1)
+    cluster = fps[0] ^ np.bitwise_xor.reduce(np.uint64(1) << rng.integers(0, 50, (6000, 2), dtype=np.uint64), axis=1)
+    fps = np.unique(np.concatenate([fps, near, cluster]))
+    df = spark.createDataFrame(pd.DataFrame({"fp": fps.view(np.int64)}))
+    links = simhash.fingerprint_links(df, 4).toPandas()
+    a, b = (np.searchsorted(fps, links[c].to_numpy().view(np.uint64)) for c in ("a", "b"))
+    assert (np.bitwise_count(fps[a] ^ fps[b]) <= 4).all()
+    got = _classes(len(fps), zip(a.tolist(), b.tolist(), strict=True))
+    want = _classes(len(fps), zip(*(v.tolist() for v in _linked_by_scan(fps)), strict=True))
+    pairs = pd.DataFrame({"got": got, "want": want}).drop_duplicates()
+    assert pairs["got"].is_unique and pairs["want"].is_unique and len(pairs) < len(fps) - 1000
+
+
+def test_crowded_cells_are_cut_until_they_are_small(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    fps = np.unique(rng.integers(0, 1 << 20, 3000, dtype=np.uint64)).view(np.int64)
+    monkeypatch.setattr(simhash, "LARGE", 100)
+    rows = simhash.pivot_rows(spark.createDataFrame(pd.DataFrame({"fp": fps})))
+    high = simhash._signed(((1 << 44) - 1) << 20)  # the group that all share
+    cells = rows.selectExpr(f"{high}L as mask", f"fp & {high}L as cell", "fp", "p0", "p1")
+    sizes = simhash.split_crowded(cells, 4).groupBy("mask", "cell").count().toPandas()
+    assert sizes["count"].max() <= 100 and sizes["mask"].nunique() >= 5
+    for mask in (0, (1 << 30) - 1, (1 << 58) - 1):
+        finer = simhash.finer_masks(mask, 4)
+        assert len(finer) == 5 and all(f & mask == mask and f != mask for f in finer)
+        assert sum(f ^ mask for f in finer) == simhash.ALL_BITS ^ mask  # the groups part the free bits
+
+
 def _wide_masks(max_bits):
     """The masks of a table too large for five groups: seven groups, three of them agree."""
     import itertools
