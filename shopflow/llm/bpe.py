@@ -42,6 +42,7 @@ from .token_files import _slices
 from .tokens import load_tokenizer
 
 LEAF_CHARS = 1 << 16
+LEAVES_PER_TASK = 64
 AGREE = 8
 FIRST_WINDOW = 64
 REMEMBERED = 600_000
@@ -239,7 +240,10 @@ def encode(docs: DataFrame, tokenizer_path: str, leaf_chars: int = LEAF_CHARS) -
         F.sequence(F.lit(0), F.char_length("text") - 1, F.lit(leaf_chars))).alias("start"))
         .select("key", "doc_id", F.col("start").cast("long").alias("start"),
                 F.col("text").substr(F.col("start") + 1, F.lit(leaf_chars)).alias("part")))
-    encoded = written(leaves.repartition(F.col("key"), F.col("start")).mapInArrow(
+    # an explicit number of tasks: AQE would merge this small exchange to one
+    n_leaves = long_rows.agg(F.sum(F.ceil(F.char_length("text") / F.lit(leaf_chars)))).first()[0] or 1
+    tasks = min(n_leaves, max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_leaves // LEAVES_PER_TASK))
+    encoded = written(leaves.repartition(tasks, F.col("key"), F.col("start")).mapInArrow(
         leaf, "key string, doc_id long, start long, part string, ids binary, spans binary"), "bpe-leaves")
     many = encoded.repartition("key").sortWithinPartitions("key", "start").mapInArrow(tree, out_schema)
     return few.unionByName(many)
