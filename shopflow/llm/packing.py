@@ -2,12 +2,13 @@
 
 Every document becomes its ids and an end id, cut into pieces of ``capacity`` ids and a remainder.
 Piece lengths are counted in bins of ``UNIT`` ids (rounded up), a histogram of at most
-capacity / UNIT rows whatever the corpus.  On that histogram the driver solves the cutting-stock
+capacity / UNIT rows whatever the corpus (single ids where the capacity is below 8 ``UNIT``).  On that histogram the driver solves the cutting-stock
 linear program by column generation (knapsack dynamic programming prices the columns) and rounds
 the pattern uses; the pieces of each bin, ranked by (doc_id, start), are then dealt to the patterns
 in order on the executors: rank -> pattern, sequence and place by one search in a sorted table.
 
-``capacity`` must be a multiple of ``UNIT``.  Defined results: a null or empty text becomes one piece with the end id; a long
+Any ``capacity`` of 1 or more is right: where ``UNIT`` does not divide it, a piece longer than its whole bins
+is alone in its sequence, as it would be anyway but for fewer than ``UNIT`` ids.  Defined results: a null or empty text becomes one piece with the end id; a long
 text is encoded whole and cut into pieces; null doc_ids rank
 first; repeated rows are packed each; an empty table gives no sequences; columns other than doc_id
 and text are not read.
@@ -82,14 +83,18 @@ def _layout(patterns: list[tuple[np.ndarray, int]]) -> dict[str, np.ndarray]:
 
 def assign(cut: DataFrame, capacity: int = 2048) -> DataFrame:
     """``sequence_id`` and ``offset`` of every row of a written table of pieces (ids are not read)."""
+    if capacity < 1:
+        raise ValueError("capacity must be 1 or more")
+    unit = UNIT if capacity >= 8 * UNIT else 1
+    bins_in_all = capacity // unit
     kept = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "piece_id"]
-    narrow = cut.select(*kept, F.ceil(F.col("length") / F.lit(UNIT)).cast("int").alias("bin"))
+    narrow = cut.select(*kept, F.least(F.ceil(F.col("length") / F.lit(unit)), F.lit(bins_in_all)).cast("int").alias("bin"))
     histogram = narrow.groupBy("bin").agg(F.count(F.lit(1)).alias("n")).collect()  # capacity / UNIT rows at most
-    demand = np.zeros(capacity // UNIT + 1, dtype=np.int64)
+    demand = np.zeros(bins_in_all + 1, dtype=np.int64)
     for row in histogram:
         demand[row["bin"]] = row["n"]
     spark = cut.sparkSession
-    shipped = spark.sparkContext.broadcast(_layout(integer_patterns(demand, capacity // UNIT)))
+    shipped = spark.sparkContext.broadcast(_layout(integer_patterns(demand, bins_in_all)))
     ranked = positions(narrow, ["doc_id", "start", "ids_crc32", "piece_id"], ["bin"], pos_col="_pos")
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

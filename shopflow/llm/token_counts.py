@@ -105,6 +105,8 @@ def section_token_counts(docs: DataFrame, tokenizer_path: str, text: Column | No
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = byte_bpe(tokenizer_path)
+        if bpe.fast is None:
+            raise ValueError(f"{tokenizer_path} is not a plain byte-level BPE: its tokens have no byte lengths")
         names = ["doc_id", "section", "start", "end", "n_tokens", "n_crossing", "doc_tokens"]
         for batch in batches:
             for rows in _slices(batch, 1):

@@ -4,7 +4,8 @@
 of the same vocabulary, which is several times faster and gives the same ids; texts that hold a
 special token's string, characters beyond the long-settled Unicode ranges (whose letter classes
 may differ between the two libraries' tables) or huge runs of white space go through the
-tokenizers library itself.
+tokenizers library itself, and so do all texts if the file is not a plain byte-level BPE (a normalizer,
+a prefix space, another split, dropout, affixes, byte fallback).
 """
 
 from __future__ import annotations
@@ -54,17 +55,22 @@ class ByteBpe:
         import tiktoken
 
         self.tokenizer = load_tokenizer(path)
+        self.fast = None
+        vocabulary = self.tokenizer.get_vocab()
+        self.n_ids = 1 + max(vocabulary.values())
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        if not plain_byte_level(spec):
+            return
         specials = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
         self.special = re.compile("|".join(map(re.escape, specials))) if specials else None
-        vocabulary = self.tokenizer.get_vocab()
         alphabet = byte_alphabet()
         raw = {t: t.encode() if t in specials else bytes(alphabet[c] for c in t) for t in vocabulary}
-        self.n_ids = 1 + max(vocabulary.values())
         self.n_bytes = np.zeros(self.n_ids, dtype=np.int64)
         for token, i in vocabulary.items():
             self.n_bytes[i] = len(raw[token])
         id_of = {raw[t]: i for t, i in vocabulary.items() if t not in specials}
-        ranks = _merge_ranks(path, id_of)
+        ranks = _merge_ranks(spec["model"]["merges"], id_of)
         self.fast = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.id_of_rank = np.zeros(len(ranks), dtype=np.uint32)
         for token, rank in ranks.items():
@@ -77,7 +83,7 @@ class ByteBpe:
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of the whole text (uint32), without special tokens added."""
-        if self._plain(text):
+        if self.fast is not None and self._plain(text):
             return self.id_of_rank[self.fast.encode_ordinary(text)]
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
@@ -93,10 +99,17 @@ class ByteBpe:
         return True
 
 
-def _merge_ranks(path: str, id_of: dict[bytes, int]) -> dict[bytes, int]:
+def plain_byte_level(spec: dict) -> bool:
+    """Whether a tokenizers file says byte-level BPE with nothing that changes the text or its pieces."""
+    split, model, added = spec.get("pre_tokenizer") or {}, spec.get("model") or {}, spec.get("added_tokens") or []
+    return (spec.get("normalizer") is None and split.get("type") == "ByteLevel" and not split.get("add_prefix_space")
+            and split.get("use_regex", True) and model.get("type") == "BPE" and not any(model.get(k) for k in (
+                "dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+            and not any(t.get(k) for t in added for k in ("single_word", "lstrip", "rstrip", "normalized")))
+
+
+def _merge_ranks(merges: list, id_of: dict[bytes, int]) -> dict[bytes, int]:
     """Byte string -> merge priority: single bytes first, then the file's merges in their order."""
-    with open(path, encoding="utf-8") as f:
-        merges = json.load(f)["model"]["merges"]
     alphabet = byte_alphabet()
     ranks = {raw: i for i, raw in enumerate(sorted((bytes([b]) for b in range(256)), key=id_of.__getitem__))}
     for merge in merges:

@@ -178,6 +178,75 @@ def test_packing(spark):
     assert packing.pack(empty_docs(spark), BYTE, 1).count() == 0
 
 
+@pytest.mark.parametrize("capacity", [1, 5, 100, 131])
+def test_packing_any_capacity(spark, capacity):
+    docs = edge_docs(spark)
+    got = packing.pack(docs, BYTE, 1, capacity).toPandas()
+    seq = got.sort_values(["sequence_id", "offset"])
+    ends = seq.groupby("sequence_id")["length"].cumsum()
+    assert (ends - seq["length"] == seq["offset"]).all() and ends.max() <= capacity
+    assert got["length"].sum() == sum(len(_ids(BYTE, r.text)) + 1 for r in docs.collect())
+    assert sorted(got["sequence_id"].unique()) == list(range(got["sequence_id"].nunique()))
+
+
+def test_packing_needs_a_capacity(spark):
+    cut = packing.cut_table(edge_docs(spark), BYTE, 1, 8)
+    with pytest.raises(ValueError, match="capacity"):
+        packing.assign(cut, 0)
+
+
+def test_few_sequences_on_small_cases():
+    """The number of sequences against the best found by trying every way of filling them."""
+    rng = np.random.default_rng(5)
+
+    def fewest(sizes, free):
+        if not sizes:
+            return len(free)
+        head, rest = sizes[0], sizes[1:]
+        ways = [fewest(rest, [*free[:i], f - head, *free[i + 1:]]) for i, f in enumerate(free)
+                if f >= head and f not in free[:i]]
+        return min([*ways, fewest(rest, [*free, 10 - head])])
+
+    for _ in range(25):
+        sizes = sorted(rng.integers(1, 11, 7).tolist(), reverse=True)
+        demand = np.bincount(sizes, minlength=11)
+        got = sum(n for _, n in cutting_stock.integer_patterns(demand, 10))
+        assert got - fewest(sizes, []) in (0, 1)  # rounding may open one more
+
+
+def test_other_byte_files_go_through_the_library(tmp_path):
+    """A file that is not a plain byte-level BPE is encoded by the tokenizers library alone."""
+    import json
+
+    with open(BYTE, encoding="utf-8") as f:
+        spec = json.load(f)
+    changes = {"prefix": lambda s: s["pre_tokenizer"].update(add_prefix_space=True),
+               "lower": lambda s: s.update(normalizer={"type": "Lowercase"})}
+    for name, change in changes.items():
+        other = json.loads(json.dumps(spec))
+        change(other)
+        path = tmp_path / f"{name}.json"
+        path.write_text(json.dumps(other), encoding="utf-8")
+        encoder = byte_bpe(str(path))
+        assert encoder.fast is None and encoder.dtype == "<u2"
+        for text in ("hello World", "", "It's 12 \u00e9"):
+            assert encoder.encode(text).tolist() == _ids(str(path), text)
+        assert encoder.encode("hello World").tolist() != byte_bpe(BYTE).encode("hello World").tolist()
+    assert byte_bpe(BYTE).fast is not None
+
+
+def test_token_counts_refuse_other_files(spark, tmp_path):
+    import json
+
+    with open(BYTE, encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["pre_tokenizer"]["add_prefix_space"] = True
+    path = tmp_path / "prefix.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    with pytest.raises(Exception, match="byte lengths"):
+        token_counts.section_token_counts(edge_docs(spark), str(path)).collect()
+
+
 def _count_reference(text, spans):
     out = {}
     for a, b in load_tokenizer(BYTE).encode(text, add_special_tokens=False).offsets:
