@@ -9,6 +9,9 @@ bounded by 2^20 rows per stratum.
 Sizes follow the usual stratified rule: the first stage keeps ``floor(train * N)``
 rows, shared over strata by largest remainder (ties to the lower stratum); the rest
 is split again with ``test / (test + val)``.
+
+Rows with a NULL id are keyed by the hash of their other columns and their place in the order of those
+hashes, so equal rows spread over buckets like any others, and which of them goes where makes no difference.
 """
 
 from __future__ import annotations
@@ -18,6 +21,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+from .ordered import positions
+
 BUCKET_HEX_DIGITS = 5
 
 
@@ -49,23 +55,39 @@ def _allocate(counts: DataFrame, stratum: str, n_col: str, total_draws: Column,
     return t.drop("_cont", "_base", "_extra", "_rr")
 
 
+def _number_null_ids(df: DataFrame, id_col: str) -> DataFrame:
+    """``df`` with ``_null_no``: for rows with a NULL id their place in hash order, else NULL.
+
+    Only those rows are written and ranked; a log without them costs one look at its ids.
+    """
+    plain = df.where(F.col(id_col).isNotNull()).withColumn("_null_no", F.lit(None).cast("string"))
+    nulls = df.where(F.col(id_col).isNull())
+    if nulls.isEmpty():
+        return plain
+    others = [F.col(f"`{c}`") for c in df.columns if c != id_col]
+    tagged = nulls.withColumns({"_h": F.xxhash64(*others) if others else F.lit(0).cast("long"),
+                                "_m": F.monotonically_increasing_id()})
+    path = scratch_path(df.sparkSession, "null-ids")
+    tagged.write.parquet(path)
+    numbered = positions(df.sparkSession.read.schema(tagged.schema).parquet(path), ["_h", "_m"], pos_col="_null_no")
+    return plain.unionByName(numbered.withColumn("_null_no", F.concat_ws(":", "_h", "_null_no")).drop("_h", "_m"))
+
+
 def stratified_split(df: DataFrame, ratios: tuple[float, float, float] = (0.7, 0.15, 0.15),
                      stratum: str = "target", seed: int = 42, id_col: str = "row_id",
                      split_col: str = "split") -> DataFrame:
     """Add ``split`` in {'train', 'test', 'val'} with exact per-stratum sizes.
 
     Every input row is in the result: a NULL stratum is a stratum of its own, and rows with a NULL id
-    are keyed by the hash of their other columns.
+    are keyed by the hash of their other columns and their place in its order.
     """
     train, test, val = ratios
     if abs(train + test + val - 1.0) >= 1e-10:
         raise ValueError("train, test and val ratios must sum to 1")
-    others = [F.col(f"`{c}`") for c in df.columns if c != id_col]
-    key = split_key(F.col(id_col), seed, F.xxhash64(*others).cast("string") if others else F.lit(""))
-    keyed = df.withColumns({
-        "_key": key,
-        "_bucket": F.conv(F.substring(key, 1, BUCKET_HEX_DIGITS), 16, 10).cast("long"),
-    })
+    keyed = _number_null_ids(df, id_col).withColumn(
+        "_key", split_key(F.col(id_col), seed, F.col("_null_no")))
+    keyed = keyed.withColumn(
+        "_bucket", F.conv(F.substring("_key", 1, BUCKET_HEX_DIGITS), 16, 10).cast("long"))
     # one row per (stratum, bucket): exclusive prefix of earlier buckets in the stratum
     buckets = keyed.groupBy(stratum, "_bucket").agg(F.count(F.lit(1)).alias("_bn"))
     # per-stratum sizes for both stages, from the bucket counts (no further pass over the rows)
@@ -84,7 +106,7 @@ def stratified_split(df: DataFrame, ratios: tuple[float, float, float] = (0.7, 0
     label = (F.when(F.col("_rank") <= F.col("_n_train"), F.lit("train"))
              .when(F.col("_rank") <= F.col("_n_train") + F.col("_n_test"), F.lit("test"))
              .otherwise(F.lit("val")))
-    return ranked.withColumn(split_col, label).drop("_key", "_bucket", "_before", "_rank", "_n_train", "_n_test")
+    return ranked.withColumn(split_col, label).drop("_key", "_bucket", "_before", "_rank", "_n_train", "_n_test", "_null_no")
 
 
 def split_report(df: DataFrame, split_col: str = "split", target: str = "target") -> DataFrame:

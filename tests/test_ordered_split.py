@@ -91,3 +91,23 @@ def test_split_keeps_null_strata_and_null_ids(spark):
     assert out["split"].value_counts().to_dict() == {"train": 700, "test": 150, "val": 150}
     again = stratified_split(df.repartition(5)).toPandas()
     assert out.set_index("v")["split"].to_dict() == again.set_index("v")["split"].to_dict()
+
+
+def test_split_spreads_equal_rows_without_ids(spark):
+    """A third of the rows are one row without an id: each gets a key of its own, on any partitioning."""
+    from shopflow.operators.split import _number_null_ids
+
+    rows = [(None, 1, "same")] * 1000 + [(None, 0, f"t{i % 500}") for i in range(1000)] + [(i, i % 2, "x") for i in range(1000)]
+    df = spark.createDataFrame(rows, "row_id long, target int, text string")
+    numbered = _number_null_ids(df, "row_id").where("row_id is null")
+    assert numbered.count() == numbered.select("_null_no").distinct().count() == 2000
+    results = []
+    for parts in (1, 6):
+        out = stratified_split(df.repartition(parts))
+        assert out.columns == [*df.columns, "split"]
+        results.append(out.groupBy(*out.columns).count().toPandas().sort_values(out.columns).reset_index(drop=True))
+    assert results[0].equals(results[1])
+    sizes = results[0].groupby("split")["count"].sum()
+    assert sizes["train"] == 2100 and sizes.sum() == 3000
+    same = results[0][results[0]["text"] == "same"].groupby("split")["count"].sum()
+    assert abs(same["train"] - 700) < 80  # spread like any other rows
