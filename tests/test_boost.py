@@ -86,3 +86,19 @@ def test_null_labels_are_refused(spark, rows):
     bad = rows.withColumn("label", F.when(F.col("b") > 0, F.col("label")))
     with pytest.raises(Exception, match="null label"):
         J.fit_joint(bad, None, NAMES, PARAMS, weight_col=None, num_classes=3)
+
+
+def test_trees_are_mllibs_where_nothing_is_sampled(spark, rows):
+    from shopflow.plans import train as T
+
+    p = T.BoostParams(step_size=0.3, max_depth=3, max_iter=3, min_instances_per_node=5, max_bins=32, subsampling_rate=1.0, feature_fraction=1.0)
+    x = rows.withColumn("weight", F.lit(1.0) + F.col("b") % 2)
+    m = T.fit_multiclass(x, None, NAMES, p, num_classes=3)
+    for c in range(3):
+        y = T.assemble(x, NAMES).withColumn("_y", (F.col("label") == c).cast("double"))
+        want = p.estimator("_y", "weight").fit(y)
+        cut = [[line.split("(")[-1] for line in t.toDebugString.split("\n")[1:] if "If" in line] for t in (*want.trees, *m.members[c].trees)]
+        # later trees of MLlib may split nodes of equal targets, by rounding; their values are the same
+        assert cut[0] == cut[3] and want.treeWeights == m.members[c].treeWeights
+        a, b = (k.transform(y).select("probability").toPandas()["probability"].map(lambda v: v[1]) for k in (want, m.members[c]))
+        assert np.allclose(a, b, atol=1e-9)
